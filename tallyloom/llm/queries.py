@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tallyloom.llm import sql
 from tallyloom.llm.folding import collapsed, folded_copies
 from tallyloom.llm.packing import pack
+from tallyloom.llm.places import clean_city, place_names, with_place, zip5
+from tallyloom.llm.spelling import entity_classes, entity_pairs
 from tallyloom.llm.splitting import split_texts
 from tallyloom.llm.tokens import count_tokens, encode_corpus
 from tallyloom.plans.registry import Registry
@@ -49,3 +51,42 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
 @registry.add("p9_pieces")
 def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_texts(table(spark, d, "documents"), "doc_id", "text", limit=512, overlap=32)
+
+
+def _named(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Records of both tables as (id, name, city, zip, business)."""
+    people, firms = table(spark, d, "contributors"), table(spark, d, "employers")
+    return {
+        "contributor": people.select(
+            F.col("name_id").alias("id"),
+            F.col("contributor_name").alias("name"),
+            clean_city(F.col("contributor_city")).alias("city"),
+            zip5(F.col("contributor_zip_code")).alias("zip"),
+            (F.col("entity_kind") == "organization").alias("business"),
+        ),
+        "employer": firms.select(
+            F.col("employer_id").alias("id"),
+            F.col("employer").alias("name"),
+            clean_city(F.col("employer_city")).alias("city"),
+            zip5(F.col("employer_zip")).alias("zip"),
+            F.lit(True).alias("business"),
+        ),
+    }
+
+
+def _classes(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    records = _named(spark, d)
+    places = cut(place_names(records["contributor"].select("city", "zip").unionByName(records["employer"].select("city", "zip"))), "places")
+    return {kind: entity_classes(with_place(r, places)) for kind, r in records.items()}
+
+
+@registry.add("p5_found")
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    found = [entity_pairs(c).select(F.lit(kind).alias("kind"), "id_a", "id_b") for kind, c in _classes(spark, d).items()]
+    return found[0].unionByName(found[1])
+
+
+@registry.add("p5_classes")
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    found = [c.select(F.lit(kind).alias("kind"), "id", F.col("class").alias("class_id")) for kind, c in _classes(spark, d).items()]
+    return found[0].unionByName(found[1])
