@@ -132,6 +132,28 @@ def edits(a: str, b: str, most: int) -> int:
     return one[-1]
 
 
+#: The rows of a keyboard; keys that touch are struck for one another.
+KEYS = ("QWERTYUIOP", "ASDFGHJKL", "ZXCVBNM")
+_AT = {c: (x + 0.5 * y, y) for y, row in enumerate(KEYS) for x, c in enumerate(row)}
+
+
+def slip(a: str, b: str) -> bool:
+    """b comes from a by one slip of the hand or ear: a letter left out, added, swapped, next to the right one, or sounding like it."""
+    if a == b or sounds(a) == sounds(b):
+        return True
+    if edits(a, b, 1) > 1:
+        return False
+    if len(a) != len(b):
+        return True
+    wrong = [(x, y) for x, y in zip(a, b) if x != y]
+    if len(wrong) == 2:
+        return True
+    (x, y) = wrong[0]
+    if x not in _AT or y not in _AT:
+        return False
+    return abs(_AT[x][0] - _AT[y][0]) <= 1.01 and abs(_AT[x][1] - _AT[y][1]) <= 1
+
+
 def abbreviates(short: str, word: str) -> bool:
     """short stands for word: the same first letter, its other letters in order in word, and clearly shorter."""
     if len(short) < 2 or len(short) >= len(word) or short[0] != word[0]:
@@ -156,7 +178,9 @@ def likeness(a: str, b: str, person: bool) -> float:
             return 0.75 if any(r[0] == a for r in ROOTS.get(b, frozenset()) | {b}) else 0.0
         if ROOTS.get(a, frozenset((a,))) & ROOTS.get(b, frozenset((b,))):
             return 0.92
-    elif len(a) >= 2 and abbreviates(a, b):
+    elif len(a) == 1:
+        return 0.75 if len(b) > 4 and b[0] == a else 0.0
+    elif abbreviates(a, b):
         return 0.9
     if sounds(a) == sounds(b):
         return 0.93
@@ -212,7 +236,7 @@ class Vocabulary:
         whole = token
         tail: list[str] = []
         while len(token) >= 8 and token not in self.common:
-            for n in range(min(len(token) - 4, 15), 3, -1):
+            for n in range(min(len(token) - 4, 15), 2, -1):
                 if token[-n:] in self.common and token[-n:] not in BRANCH_WORDS and len(token) - n >= 4:
                     tail.insert(0, token[-n:])
                     token = token[:-n]
@@ -233,6 +257,7 @@ def business_tokens(name: str | None, words: Vocabulary = Vocabulary()) -> tuple
     if not name:
         return ()
     text = re.sub(r"[^A-Z0-9&]+", " ", plain(_CAMEL.sub(" ", name))).strip()
+    text = re.sub(r"\b(NAT|INT) L\b", r"\1L", text)
     text = re.sub(r"\b(?:[A-Z] ){1,3}[A-Z]$", lambda m: m[0].replace(" ", ""), text)  # L L C
     for _ in range(2):
         text = BRANCH.sub("", text).strip()

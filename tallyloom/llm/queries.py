@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import sql
+from tallyloom.llm.canonical import accept_business, accept_occupation, closest_entries
 from tallyloom.llm.folding import collapsed, folded_copies
+from tallyloom.llm.names import Vocabulary, business_tokens
+from tallyloom.llm.occupations import occupation_words, wordings
 from tallyloom.llm.packing import pack
 from tallyloom.llm.places import clean_city, place_names, with_place, zip5
-from tallyloom.llm.spelling import entity_classes, entity_pairs
+from tallyloom.llm.spelling import common_words, entity_classes, entity_pairs
 from tallyloom.llm.splitting import split_texts
 from tallyloom.llm.tokens import count_tokens, encode_corpus
 from tallyloom.plans.registry import Registry
@@ -90,3 +93,31 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p5_classes(spark: SparkSession, d: str) -> DataFrame:
     found = [c.select(F.lit(kind).alias("kind"), "id", F.col("class").alias("class_id")) for kind, c in _classes(spark, d).items()]
     return found[0].unionByName(found[1])
+
+
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, record_id, value, ref_id, score) of every value that may have an entry; ref_id is null without one."""
+    listed = table(spark, d, "occupation_list").select(F.col("occ_id").alias("ref_id"), F.col("occupation").alias("name"))
+    other = spark.createDataFrame(wordings(), "canonical string, other string")
+    entries = listed.unionByName(listed.join(F.broadcast(other), F.col("canonical") == F.col("name")).select("ref_id", F.col("other").alias("name")))
+    written = F.regexp_replace(F.coalesce("contributor_occupation", F.lit("")), r"[\s\x{a0}]+", "") != ""
+    occupations = table(spark, d, "contributors").filter(written).select(F.lit("occupation").alias("kind"), F.col("name_id").alias("record_id"), F.col("contributor_occupation").alias("value"))
+    firms = table(spark, d, "running_list").select("ref_id", F.col("name_norm").alias("name"))
+    employers = table(spark, d, "employers").select(F.lit("employer").alias("kind"), F.col("employer_id").alias("record_id"), F.col("employer_norm").alias("value"))
+    words = Vocabulary(common_words(employers.select(F.col("value").alias("name")).unionByName(firms.select("name"))))
+    found = [
+        (occupations, closest_entries(occupations, entries, occupation_words, accept_occupation)),
+        (employers, closest_entries(employers, firms, lambda x: business_tokens(x, words), accept_business)),
+    ]
+    parts = [rows.join(best, "value", "left") for rows, best in found]
+    return parts[0].unionByName(parts[1])
+
+
+@registry.add("p3_found")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _mapped(spark, d).select("kind", "record_id", F.coalesce("ref_id", F.lit(-1).cast("bigint")).alias("ref_id"))
+
+
+@registry.add("p3_unmatched")
+def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return _mapped(spark, d).filter("ref_id IS NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_rows"))
