@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import sql
 from tallyloom.llm.canonical import accept_business, accept_occupation, closest_entries
 from tallyloom.llm.folding import collapsed, folded_copies
+from tallyloom.llm.linkage import match_sources
 from tallyloom.llm.names import Vocabulary, business_tokens
 from tallyloom.llm.occupations import occupation_words, wordings
 from tallyloom.llm.packing import pack
@@ -121,3 +122,33 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 @registry.add("p3_unmatched")
 def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _mapped(spark, d).filter("ref_id IS NULL").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _linked(spark: SparkSession, d: str) -> DataFrame:
+    left = table(spark, d, "employers").select(
+        F.col("employer_id").alias("id"),
+        F.col("employer").alias("name"),
+        clean_city(F.col("employer_city")).alias("city"),
+        zip5(F.col("employer_zip")).alias("zip"),
+        F.col("naics_code").alias("code"),
+    )
+    right = table(spark, d, "edd_listings").select(
+        F.col("edd_id").alias("id"),
+        F.col("edd_match_name").alias("name"),
+        clean_city(F.col("city")).alias("city"),
+        zip5(F.col("zip_code")).alias("zip"),
+        F.col("edd_naics_code").alias("code"),
+    )
+    places = cut(place_names(left.select("city", "zip").unionByName(right.select("city", "zip"))), "places")
+    words = common_words(left.select("name").unionByName(right.select("name")))
+    return match_sources(with_place(left, places), with_place(right, places), words)
+
+
+@registry.add("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d).filter("confidence >= 0.5").select(F.col("left_id").alias("employer_id"), F.col("right_id").alias("edd_id"))
+
+
+@registry.add("p1_confidence")
+def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return _linked(spark, d).select(F.col("left_id").alias("employer_id"), F.col("right_id").alias("edd_id"), "confidence")
