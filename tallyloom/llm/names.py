@@ -236,7 +236,7 @@ class Vocabulary:
         whole = token
         tail: list[str] = []
         while len(token) >= 8 and token not in self.common:
-            for n in range(min(len(token) - 4, 15), 2, -1):
+            for n in range(min(len(token) - 4, 15), 2 if tail else 3, -1):
                 if token[-n:] in self.common and token[-n:] not in BRANCH_WORDS and len(token) - n >= 4:
                     tail.insert(0, token[-n:])
                     token = token[:-n]
