@@ -6,7 +6,7 @@ import importlib
 
 from tallyloom.plans.registry import Registry
 
-MODULES = ("pipeline",)
+MODULES = ("pipeline", "filters", "joins")
 
 
 def core() -> Registry:
