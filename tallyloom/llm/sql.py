@@ -1,6 +1,6 @@
 """SQL that equals queries of this package, where SQL can express them."""
 
-_PARTS = "array_to_string(list_sort(list_filter(string_split_regex(regexp_replace(lower(contributor_name), '[.''`‘’ʼ]', '', 'g'), '[^\\p{L}\\p{N}\\p{M}]+'), x -> x <> '')), ' ')"
+_PARTS = "array_to_string(list_sort(list_filter(string_split_regex(regexp_replace(lower(contributor_name), '[.''`‘’ʼ]', '', 'g'), '[^\\p{L}\\p{N}\\p{M}]+'), lambda x: x <> '')), ' ')"
 _FOLDED = ", ".join(f"regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+', '', 'g')" for c in ("contributor_employer", "contributor_occupation", "contributor_city"))
 _RECEIPT = f"start_date, amount, transaction_type, recipient_committee_id, contributor_state, contributor_zip_code, {_FOLDED}, {_PARTS}"
 
