@@ -6,7 +6,7 @@ import importlib
 
 from tallyloom.plans.registry import Registry
 
-MODULES = ("pipeline", "filters", "joins")
+MODULES = ("pipeline", "filters", "joins", "aggregates")
 
 
 def core() -> Registry:
