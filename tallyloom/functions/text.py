@@ -93,7 +93,7 @@ def joined_name(last: Column, first: Column) -> Column:
 
 def split_keywords(c: Column) -> Column:
     """Keywords parted by commas and slashes: trimmed, in lower case, none blank."""
-    return F.filter(F.transform(F.split(F.lower(c), r"\s*[,/]\s*"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.lower(c), "[,/]"), R.strip), lambda x: x != "")
 
 
 def is_organisation(c: Column) -> Column:

@@ -31,7 +31,7 @@ def clean_amount(c: Column) -> Column:
 
 def amount_text(c: Column) -> Column:
     """Two decimals, without '.00'."""
-    return F.regexp_replace(F.format_string("%.2f", c), r"\.00$", "")
+    return F.when(c.isNotNull(), F.regexp_replace(F.format_string("%.2f", c), r"\.00$", ""))
 
 
 def tier(c: Column) -> Column:
