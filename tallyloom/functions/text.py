@@ -26,6 +26,11 @@ NO_EMPLOYER = ("", "N/A", "NA", "NONE", "NAN", "NULL", "UNKNOWN", "NOT EMPLOYED"
 ORGANISATION = r"\b(?:" + "|".join(ORGANISATION_WORDS) + r"|AND CO)\b"
 
 
+def _at(array: Column, place: int) -> Column:
+    """An array's element, null where there is none."""
+    return F.try_element_at(array, F.lit(place))
+
+
 def normalize_name(c: Column) -> Column:
     """Upper case, everything but A-Z, 0-9 and blanks as a blank, squeezed; null gives ''."""
     return F.trim(F.regexp_replace(F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9 ]+", " "), " +", " "))
@@ -115,9 +120,9 @@ def _clean_person(c: Column) -> Column:
 def is_individual(c: Column) -> Column:
     """Whether a name reads as a person's: 'LAST, FIRST', with marks and titles before, between or after; never a firm of partners."""
     name = _clean_person(c)
-    parts = F.filter(F.transform(F.split(name, ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(name, ","), lambda x: F.trim(x)), lambda x: x != "")
     n = F.size(parts)
-    first, last = F.element_at(parts, 1), F.when(n > 0, F.element_at(parts, -1))
+    first, last = _at(parts, 1), F.when(n > 0, _at(parts, -1))
     middle = F.slice(parts, 2, F.greatest(n - 2, F.lit(0)))
     words, dotted, mark = r"^[A-Z'\- ]+$", r"^[A-Z'\-. ]+$", r"^(?:(?:" + "|".join(NAME_MARKS) + r"|[A-Z])(?:\s+|$))+$"
     few = F.forall(parts, lambda x: x.rlike(dotted) & (F.size(F.split(x, r"\s+")) <= 3) & ~x.rlike(r"\bAND\b"))
@@ -133,27 +138,27 @@ def is_individual(c: Column) -> Column:
 
 def person_name(c: Column) -> Column:
     """struct(last, first, middle, suffix, title) of 'LAST, [SUFFIX,] [TITLE] FIRST [MIDDLE] [SUFFIX]'; nulls where a part is absent."""
-    bare = R.squish(F.regexp_replace(F.upper(c), r"\s*\([^)]*\)", ""))
-    parts = F.filter(F.transform(F.split(bare, ","), F.trim), lambda x: x != "")
+    bare = R.squish(F.regexp_replace(F.regexp_replace(F.upper(c), r"\s*\([^)]*\)", ""), r"\.", ""))
+    parts = F.filter(F.transform(F.split(bare, ","), lambda x: F.trim(x)), lambda x: x != "")
     blank = lambda x: F.when(x != "", x)
     is_mark = lambda x: x.isin(NAME_MARKS)
-    head = F.filter(F.split(F.when(F.size(parts) > 0, F.element_at(parts, 1)), r"\s+"), lambda x: x != "")
-    head_mark = (F.size(head) > 1) & is_mark(F.element_at(head, -1))
+    head = F.filter(F.split(F.when(F.size(parts) > 0, _at(parts, 1)), r"\s+"), lambda x: x != "")
+    head_mark = (F.size(head) > 1) & is_mark(_at(head, -1))
     last = F.when(head_mark, F.array_join(F.slice(head, 1, F.size(head) - 1), " ")).otherwise(F.array_join(head, " "))
     rest = F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))
-    all_marks = lambda p: F.forall(F.split(p, r"\s+"), is_mark)
+    all_marks = lambda p: p.rlike(r"^(?:(?:" + "|".join(NAME_MARKS) + r")(?:\s+|$))+$")
     tokens = F.filter(F.flatten(F.transform(F.filter(rest, lambda p: ~all_marks(p)), lambda p: F.split(p, r"\s+"))), lambda x: x != "")
     joint = F.array_contains(tokens, "AND")
-    title = F.when(~joint & (F.size(tokens) > 1) & F.element_at(tokens, 1).isin(NAME_TITLES), F.element_at(tokens, 1))
+    title = F.when(~joint & (F.size(tokens) > 1) & _at(tokens, 1).isin(NAME_TITLES), _at(tokens, 1))
     named = F.when(title.isNotNull(), F.slice(tokens, 2, F.size(tokens))).otherwise(tokens)
     plain = F.when(F.size(named) > 1, F.concat(F.slice(named, 1, 1), F.filter(F.slice(named, 2, F.size(named)), lambda x: ~is_mark(x)))).otherwise(named)
     trailing = F.filter(F.slice(named, 2, F.greatest(F.size(named), F.lit(1))), is_mark)
     marks = F.concat(
-        F.when(head_mark, F.array(F.element_at(head, -1))).otherwise(F.array().cast("array<string>")),
+        F.when(head_mark, F.array(_at(head, -1))).otherwise(F.array().cast("array<string>")),
         F.filter(rest, all_marks),
         F.when(joint, F.array().cast("array<string>")).otherwise(trailing),
     )
-    first = F.when(joint, F.array_join(tokens, " ")).when(F.size(plain) > 0, F.element_at(plain, 1))
+    first = F.when(joint, F.array_join(tokens, " ")).when(F.size(plain) > 0, _at(plain, 1))
     middle = F.when(~joint & (F.size(plain) > 1), F.array_join(F.slice(plain, 2, F.size(plain)), " "))
     return F.struct(blank(last).alias("last"), first.alias("first"), middle.alias("middle"), blank(F.array_join(marks, " ")).alias("suffix"), title.alias("title"))
 
@@ -196,5 +201,5 @@ def html_description(c: Column) -> Column:
     og = F.regexp_extract(c, r"""(?is)<meta[^>]+property=["']og:description["'][^>]+content=["']([^"']*)["']""", 1)
     paragraphs = F.transform(F.regexp_extract_all(c, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1)), lambda p: R.squish(F.regexp_replace(p, "<[^>]+>", "")))
     long = F.filter(paragraphs, lambda p: F.length(p) > 60)
-    body = F.when(F.size(long) > 0, F.element_at(long, 1))
+    body = F.when(F.size(long) > 0, _at(long, 1))
     return F.substring(F.coalesce(F.nullif(meta, F.lit("")), F.nullif(og, F.lit("")), body), 1, 400)

@@ -59,7 +59,7 @@ def agreed(sources: list[tuple[str, Column]], least: int = 2) -> Column:
     """The value that at least so many sources name, the first of them by order; null without one."""
     values = F.array(*[c for _, c in sources])
     enough = F.filter(values, lambda v: v.isNotNull() & (F.size(F.filter(values, lambda w: w == v)) >= least))
-    return F.when(F.size(enough) > 0, F.element_at(enough, 1))
+    return F.when(F.size(enough) > 0, F.try_element_at(enough, F.lit(1)))
 
 
 def reasons(*flags: tuple[Column, str]) -> Column:
