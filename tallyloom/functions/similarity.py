@@ -40,7 +40,7 @@ def jaro_winkler_text(a: str, b: str, p: float = 0.1) -> float:
     k = len(matched)
     if not k:
         return 0.0
-    moved = sum(x != y for x, y in zip(matched, (b[j] for j in range(m) if taken[j]))) / 2
+    moved = sum(x != y for x, y in zip(matched, (b[j] for j in range(m) if taken[j]))) // 2
     jaro = (k / n + k / m + (k - moved) / k) / 3
     prefix = 0
     while prefix < min(4, n, m) and a[prefix] == b[prefix]:

@@ -37,10 +37,11 @@ def keywords_by_join(df: DataFrame, key: str, text: str, keywords: DataFrame, mo
     Texts are cut to their word sequences of up to most_words words and joined by equality. Ties go to the smaller keyword.
     """
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    spans = df.select(F.col(key), words.alias("w")).select(
-        key, F.explode(F.array_distinct(F.flatten(F.array(*[
-            F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda i, n=n: F.array_join(F.slice("w", i, n), " ")) for n in range(1, most_words + 1)
-        ])))).alias("keyword"))
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.array_join(F.slice("w", i, n), " "))
+
+    spans = df.select(F.col(key), words.alias("w")).select(key, F.explode(F.array_distinct(F.flatten(F.array(*[of_length(n) for n in range(1, most_words + 1)])))).alias("keyword"))
     hits = spans.join(keywords.withColumn("keyword", F.lower("keyword")), "keyword")
     return hits.groupBy(key).agg(F.max_by(F.struct("keyword", "value"), F.struct(F.length("keyword"), -F.ascii("keyword"))).alias("b")).select(key, "b.keyword", "b.value")
 
