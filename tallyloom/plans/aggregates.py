@@ -18,19 +18,25 @@ def _on(name: str, source: str, sql: str, f) -> None:
     registry.add(name, sql)(lambda spark, d: f(table(spark, d, source)))
 
 
-n_rows = F.count(F.lit(1))
-_on("agg_count_by", "contributions", "SELECT recipient_committee_id, count(*) AS n FROM contributions GROUP BY 1", lambda c: c.groupBy("recipient_committee_id").agg(n_rows.alias("n")))
+
+
+def n_rows():
+    """The number of rows of a group."""
+    return F.count(F.lit(1))
+
+
+_on("agg_count_by", "contributions", "SELECT recipient_committee_id, count(*) AS n FROM contributions GROUP BY 1", lambda c: c.groupBy("recipient_committee_id").agg(n_rows().alias("n")))
 _on(
     "agg_entity_rollup",
     "contributions",
     "SELECT contributor_name, count(*) AS n, round(sum(amount), 2) AS total, arg_min(contributor_occupation, row_id) FILTER (WHERE contributor_occupation IS NOT NULL) AS occupation FROM contributions GROUP BY 1",
-    lambda c: c.groupBy("contributor_name").agg(n_rows.alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.min_by("contributor_occupation", F.when(F.col("contributor_occupation").isNotNull(), F.col("row_id"))).alias("occupation")),
+    lambda c: c.groupBy("contributor_name").agg(n_rows().alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.min_by("contributor_occupation", F.when(F.col("contributor_occupation").isNotNull(), F.col("row_id"))).alias("occupation")),
 )
 _on(
     "agg_entity_multi_key",
     "contributors",
     "SELECT standardized_name, entity_kind, contributor_occupation, count(*) AS n FROM contributors GROUP BY 1, 2, 3",
-    lambda c: c.groupBy("standardized_name", "entity_kind", "contributor_occupation").agg(n_rows.alias("n")),
+    lambda c: c.groupBy("standardized_name", "entity_kind", "contributor_occupation").agg(n_rows().alias("n")),
 )
 _MODE = "SELECT {k}, min(v) AS mode FROM (SELECT {k}, {v} AS v, count(*) AS n, max(count(*)) OVER (PARTITION BY {k}) AS m FROM {t} WHERE {v} IS NOT NULL GROUP BY 1, 2) WHERE n = m GROUP BY 1"
 _on("agg_mode", "contributions", _MODE.format(k="recipient_committee_id", v="contributor_city", t="contributions"), lambda c: G.mode_by(c, ["recipient_committee_id"], "contributor_city"))
@@ -100,7 +106,7 @@ _on(
     """SELECT contributor_name, contributor_city, count(*) AS n, round(sum(amount), 2) AS total, arg_min(row_id, (start_date, row_id)) AS first_row, arg_max(row_id, (start_date, row_id)) AS last_row
        FROM contributions WHERE start_date IS NOT NULL GROUP BY 1, 2""",
     lambda c: c.filter("start_date IS NOT NULL").groupBy("contributor_name", "contributor_city").agg(
-        n_rows.alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.min_by("row_id", F.struct("start_date", "row_id")).alias("first_row"), F.max_by("row_id", F.struct("start_date", "row_id")).alias("last_row")
+        n_rows().alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.min_by("row_id", F.struct("start_date", "row_id")).alias("first_row"), F.max_by("row_id", F.struct("start_date", "row_id")).alias("last_row")
     ),
 )
 _on(
@@ -132,42 +138,42 @@ _on(
     "agg_coverage",
     "employers",
     "SELECT coalesce(data_source_1, 'unmatched') AS source, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM employers GROUP BY 1",
-    lambda e: e.groupBy(F.coalesce("data_source_1", F.lit("unmatched")).alias("source")).agg(n_rows.alias("n")).crossJoin(F.broadcast(e.agg(n_rows.alias("all")))).select("source", "n", F.round(100.0 * F.col("n") / F.col("all"), 4).alias("share")),
+    lambda e: e.groupBy(F.coalesce("data_source_1", F.lit("unmatched")).alias("source")).agg(n_rows().alias("n")).crossJoin(F.broadcast(e.agg(n_rows().alias("all")))).select("source", "n", F.round(100.0 * F.col("n") / F.col("all"), 4).alias("share")),
 )
 _TIER_SQL = "CASE WHEN amount >= 100000 THEN '100k and more' WHEN amount >= 10000 THEN '10k to 100k' WHEN amount >= 1000 THEN '1k to 10k' ELSE 'under 1k' END"
 _on(
     "agg_tier_stats",
     "contributions",
     f"SELECT {_TIER_SQL} AS tier, count(*) AS n, round(sum(amount), 2) AS total, round(avg(amount), 4) AS mean, median(amount) AS median FROM contributions GROUP BY 1",
-    lambda c: c.groupBy(values.tier(F.col("amount")).alias("tier")).agg(n_rows.alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.round(F.avg("amount"), 4).alias("mean"), F.median("amount").alias("median")),
+    lambda c: c.groupBy(values.tier(F.col("amount")).alias("tier")).agg(n_rows().alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.round(F.avg("amount"), 4).alias("mean"), F.median("amount").alias("median")),
 )
 _on("agg_summary_stats", "contributions", "SELECT recipient_committee_id, count(amount) AS n, round(sum(amount), 2) AS total, median(amount) AS median FROM contributions GROUP BY 1", lambda c: c.groupBy("recipient_committee_id").agg(F.count("amount").alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.median("amount").alias("median")))
 _on(
     "agg_type_stats",
     "contributions",
     "SELECT transaction_type, count(*) AS n, round(sum(amount), 2) AS total, max(amount) AS most, min(CASE WHEN amount > 0 THEN amount END) AS least FROM contributions GROUP BY 1",
-    lambda c: c.groupBy("transaction_type").agg(n_rows.alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.max("amount").alias("most"), F.min(F.when(F.col("amount") > 0, F.col("amount"))).alias("least")),
+    lambda c: c.groupBy("transaction_type").agg(n_rows().alias("n"), F.round(F.sum("amount"), 2).alias("total"), F.max("amount").alias("most"), F.min(F.when(F.col("amount") > 0, F.col("amount"))).alias("least")),
 )
 _on(
     "agg_match_rate",
     "employers",
     "SELECT entity_kind, count(*) AS n, count(data_source_1) AS matched, count(naics_code) AS coded, round(count(naics_code) / greatest(count(*), 1), 6) AS rate FROM employers GROUP BY 1",
-    lambda e: e.groupBy("entity_kind").agg(n_rows.alias("n"), F.count("data_source_1").alias("matched"), F.count("naics_code").alias("coded"), F.round(values.ratio(F.count("naics_code"), n_rows), 6).alias("rate")),
+    lambda e: e.groupBy("entity_kind").agg(n_rows().alias("n"), F.count("data_source_1").alias("matched"), F.count("naics_code").alias("coded"), F.round(values.ratio(F.count("naics_code"), n_rows()), 6).alias("rate")),
 )
-_on("agg_company_check", "contributions", "SELECT CASE WHEN strip(coalesce(contributor_employer, '')) = '' THEN '(blank / missing)' ELSE contributor_employer END AS company, count(*) AS n FROM contributions GROUP BY 1", lambda c: c.groupBy(F.when(strip(F.coalesce("contributor_employer", F.lit(""))) == "", "(blank / missing)").otherwise(F.col("contributor_employer")).alias("company")).agg(n_rows.alias("n")))
-_on("agg_value_counts_top", "employers", "SELECT level2_category, count(*) AS n FROM employers GROUP BY 1 ORDER BY n DESC, level2_category NULLS LAST LIMIT 15", lambda e: e.groupBy("level2_category").agg(n_rows.alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("level2_category")).limit(15))
+_on("agg_company_check", "contributions", "SELECT CASE WHEN strip(coalesce(contributor_employer, '')) = '' THEN '(blank / missing)' ELSE contributor_employer END AS company, count(*) AS n FROM contributions GROUP BY 1", lambda c: c.groupBy(F.when(strip(F.coalesce("contributor_employer", F.lit(""))) == "", "(blank / missing)").otherwise(F.col("contributor_employer")).alias("company")).agg(n_rows().alias("n")))
+_on("agg_value_counts_top", "employers", "SELECT level2_category, count(*) AS n FROM employers GROUP BY 1 ORDER BY n DESC, level2_category NULLS LAST LIMIT 15", lambda e: e.groupBy("level2_category").agg(n_rows().alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("level2_category")).limit(15))
 _CONF = "CASE lower(confidence) WHEN 'high' THEN 0.9 WHEN 'medium' THEN 0.6 WHEN 'low' THEN 0.3 END"
 _on(
     "agg_conf_by_category",
     "web_search_cache",
     f"SELECT is_prominent, count(*) AS n, count(CASE WHEN {_CONF} < 0.5 THEN 1 END) AS n_low, round(avg({_CONF}), 6) AS mean, median({_CONF})::DOUBLE AS median FROM web_search_cache GROUP BY 1",
-    lambda w: w.withColumn("c", F.when(F.lower("confidence") == "high", 0.9).when(F.lower("confidence") == "medium", 0.6).when(F.lower("confidence") == "low", 0.3)).groupBy("is_prominent").agg(n_rows.alias("n"), F.count(F.when(F.col("c") < 0.5, 1)).alias("n_low"), F.round(F.avg("c"), 6).alias("mean"), F.median("c").alias("median")),
+    lambda w: w.withColumn("c", F.when(F.lower("confidence") == "high", 0.9).when(F.lower("confidence") == "medium", 0.6).when(F.lower("confidence") == "low", 0.3)).groupBy("is_prominent").agg(n_rows().alias("n"), F.count(F.when(F.col("c") < 0.5, 1)).alias("n_low"), F.round(F.avg("c"), 6).alias("mean"), F.median("c").alias("median")),
 )
 _on(
     "agg_pivot_stack",
     "employers",
     "SELECT level1_category, count(CASE WHEN entity_kind = 'individual' THEN 1 END) AS individual, count(CASE WHEN entity_kind = 'organization' THEN 1 END) AS organization FROM employers GROUP BY 1",
-    lambda e: e.groupBy("level1_category").pivot("entity_kind", ["individual", "organization"]).agg(n_rows).na.fill(0, ["individual", "organization"]),
+    lambda e: e.groupBy("level1_category").pivot("entity_kind", ["individual", "organization"]).agg(n_rows()).na.fill(0, ["individual", "organization"]),
 )
 _on(
     "agg_small_slice_other",
@@ -175,7 +181,7 @@ _on(
     "SELECT office, label, round(sum(a), 2) AS amount FROM (SELECT office, a, CASE WHEN 100 * a / sum(a) OVER (PARTITION BY office) < 3 THEN 'Other' ELSE contributor_state END AS label FROM (SELECT office, contributor_state, sum(amount) AS a FROM contributions WHERE office IS NOT NULL AND amount IS NOT NULL AND contributor_state IS NOT NULL GROUP BY 1, 2)) GROUP BY 1, 2",
     lambda c: G.folded_small(c.filter("office IS NOT NULL AND amount IS NOT NULL AND contributor_state IS NOT NULL"), ["office"], "contributor_state", "amount", 3.0).select("office", F.col("contributor_state").alias("label"), F.round("amount", 2).alias("amount")),
 )
-_on("agg_txn_types", "contributions", "SELECT transaction_type, count(*) AS n, round(sum(amount), 2) AS total FROM contributions GROUP BY 1", lambda c: c.groupBy("transaction_type").agg(n_rows.alias("n"), F.round(F.sum("amount"), 2).alias("total")))
+_on("agg_txn_types", "contributions", "SELECT transaction_type, count(*) AS n, round(sum(amount), 2) AS total FROM contributions GROUP BY 1", lambda c: c.groupBy("transaction_type").agg(n_rows().alias("n"), F.round(F.sum("amount"), 2).alias("total")))
 _on("agg_fill_rate", "contributions", "SELECT round(avg(CASE WHEN strip(coalesce(contributor_employer, '')) <> '' THEN 1.0 ELSE 0.0 END), 6) AS employer, round(avg(CASE WHEN strip(coalesce(contributor_occupation, '')) <> '' THEN 1.0 ELSE 0.0 END), 6) AS occupation FROM contributions", lambda c: c.agg(*[F.round(F.avg((strip(F.coalesce(f"contributor_{x}", F.lit(""))) != "").cast("double")), 6).alias(x) for x in ("employer", "occupation")]))
 registry.add(
     "agg_top_confusions",
@@ -183,7 +189,7 @@ registry.add(
 )(
     lambda spark, d: table(spark, d, "employers").select(F.col("employer_norm").alias("k"), F.col("level1_category").alias("given"))
     .join(table(spark, d, "running_list").select(F.col("name_norm").alias("k"), F.col("level1_category").alias("listed")), "k")
-    .groupBy("given", "listed").agg(n_rows.alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("given"), F.asc_nulls_last("listed")).limit(15)
+    .groupBy("given", "listed").agg(n_rows().alias("n")).orderBy(F.desc("n"), F.asc_nulls_last("given"), F.asc_nulls_last("listed")).limit(15)
 )
 registry.add(
     "agg_accuracy",
@@ -191,15 +197,15 @@ registry.add(
 )(
     lambda spark, d: table(spark, d, "employers").filter("level1_category IS NOT NULL").select(F.col("employer_norm").alias("k"), "level1_category")
     .join(table(spark, d, "running_list").select(F.col("name_norm").alias("k"), F.col("level1_category").alias("truth"), "list_source"), "k")
-    .groupBy("list_source").agg(n_rows.alias("n"), F.round(F.avg(F.coalesce(F.col("level1_category") == F.col("truth"), F.lit(False)).cast("double")), 6).alias("top1"))
+    .groupBy("list_source").agg(n_rows().alias("n"), F.round(F.avg(F.coalesce(F.col("level1_category") == F.col("truth"), F.lit(False)).cast("double")), 6).alias("top1"))
 )
 _on(
     "agg_normalised_name_freq",
     "contributors",
     "SELECT c.name_id, f.n FROM (SELECT name_id, upper(split_part(contributor_name, ',', 1)) AS k FROM contributors) c JOIN (SELECT upper(split_part(contributor_name, ',', 1)) AS k, count(*) AS n FROM contributors GROUP BY 1) f USING (k)",
-    lambda c: G.with_group(c.select("name_id", F.upper(F.split_part("contributor_name", F.lit(","), F.lit(1))).alias("k")), ["k"], n=n_rows).filter("k IS NOT NULL").select("name_id", "n"),
+    lambda c: G.with_group(c.select("name_id", F.upper(F.split_part("contributor_name", F.lit(","), F.lit(1))).alias("k")), ["k"], n=n_rows()).filter("k IS NOT NULL").select("name_id", "n"),
 )
-_on("agg_grouping_sets", "contributions", "SELECT office, transaction_type, count(*) AS n FROM contributions GROUP BY GROUPING SETS ((office, transaction_type), (office), ())", lambda c: c.groupingSets([["office", "transaction_type"], ["office"], []], "office", "transaction_type").agg(n_rows.alias("n")))
+_on("agg_grouping_sets", "contributions", "SELECT office, transaction_type, count(*) AS n FROM contributions GROUP BY GROUPING SETS ((office, transaction_type), (office), ())", lambda c: c.groupingSets([["office", "transaction_type"], ["office"], []], "office", "transaction_type").agg(n_rows().alias("n")))
 _on("agg_rollup", "contributions", "SELECT contributor_state, office, round(sum(amount), 2) AS total FROM contributions GROUP BY ROLLUP (contributor_state, office)", lambda c: c.rollup("contributor_state", "office").agg(F.round(F.sum("amount"), 2).alias("total")))
 
 _on("win_row_number_file", "filers", "SELECT filer_id, row_number() OVER (ORDER BY filer_id) AS n FROM filers", lambda f: _numbered(f.select("filer_id"), "filer_id"))
@@ -214,14 +220,14 @@ _on("win_first_real_code", "employers", "SELECT employer_norm, naics_code FROM (
 _on("win_dedup_first", "web_search_cache", "SELECT search_key, min(search_id) AS search_id FROM web_search_cache GROUP BY 1", lambda w: G.first_rows(w.select("search_key", "search_id"), ["search_key"], F.col("search_id")))
 _on("win_dedup_last", "web_search_cache", "SELECT search_key, max(search_id) AS search_id FROM web_search_cache GROUP BY 1", lambda w: G.first_rows(w.select("search_key", "search_id"), ["search_key"], F.desc("search_id")))
 _on("win_dedup_priority", "contributors", "SELECT standardized_name, data_source, name_id FROM (SELECT *, row_number() OVER (PARTITION BY standardized_name ORDER BY CASE data_source WHEN 'manual' THEN 0 ELSE 1 END, name_id) AS r FROM contributors) WHERE r = 1", lambda c: G.first_rows(c.select("standardized_name", "data_source", "name_id"), ["standardized_name"], F.when(F.col("data_source") == "manual", 0).otherwise(1), F.col("name_id")))
-_on("win_duplicates_flag", "contributions", "SELECT row_id, count(*) OVER (PARTITION BY contributor_name, amount, start_date, recipient_committee_id) > 1 AS repeated FROM contributions", lambda c: c.join(c.groupBy("contributor_name", "amount", "start_date", "recipient_committee_id").agg(n_rows.alias("__n")).select(*[F.col(x).alias(f"__{x}") for x in ("contributor_name", "amount", "start_date", "recipient_committee_id")], "__n"), [F.col(x).eqNullSafe(F.col(f"__{x}")) for x in ("contributor_name", "amount", "start_date", "recipient_committee_id")]).select("row_id", (F.col("__n") > 1).alias("repeated")))
+_on("win_duplicates_flag", "contributions", "SELECT row_id, count(*) OVER (PARTITION BY contributor_name, amount, start_date, recipient_committee_id) > 1 AS repeated FROM contributions", lambda c: c.join(c.groupBy("contributor_name", "amount", "start_date", "recipient_committee_id").agg(n_rows().alias("__n")).select(*[F.col(x).alias(f"__{x}") for x in ("contributor_name", "amount", "start_date", "recipient_committee_id")], "__n"), [F.col(x).eqNullSafe(F.col(f"__{x}")) for x in ("contributor_name", "amount", "start_date", "recipient_committee_id")]).select("row_id", (F.col("__n") > 1).alias("repeated")))
 _on("win_sample_per_group", "contributors", "SELECT data_source, name_id FROM (SELECT data_source, name_id, row_number() OVER (PARTITION BY data_source ORDER BY md5(name_id || '|42'), name_id) AS r FROM contributors) WHERE r <= 20", lambda c: G.sample_per_group(c.select("data_source", "name_id"), ["data_source"], 20, "name_id"))
 _on("win_nsmallest_per_group", "contributions", "SELECT office, row_id, amount FROM (SELECT office, row_id, amount, row_number() OVER (PARTITION BY office ORDER BY amount, row_id) AS r FROM contributions WHERE office IS NOT NULL AND amount IS NOT NULL) WHERE r <= 5", lambda c: G.first_rows(c.filter("office IS NOT NULL AND amount IS NOT NULL").select("office", "row_id", "amount"), ["office"], F.col("amount"), F.col("row_id"), n=5))
 _on("win_topn_per_group", "contributions", "SELECT office, contributor_state, total FROM (SELECT office, contributor_state, round(sum(amount), 2) AS total, row_number() OVER (PARTITION BY office ORDER BY round(sum(amount), 2) DESC, contributor_state NULLS LAST) AS r FROM contributions WHERE office IS NOT NULL GROUP BY 1, 2) WHERE r <= 3", lambda c: G.first_rows(c.filter("office IS NOT NULL").groupBy("office", "contributor_state").agg(F.round(F.sum("amount"), 2).alias("total")), ["office"], F.desc("total"), F.asc_nulls_last("contributor_state"), n=3))
 _on("ord_desc_total", "contributions", "SELECT recipient_committee_id, round(sum(amount), 2) AS total FROM contributions GROUP BY 1 ORDER BY total DESC", lambda c: c.groupBy("recipient_committee_id").agg(F.round(F.sum("amount"), 2).alias("total")).orderBy(F.desc("total")))
 _on("ord_len_desc", "running_list", "SELECT ref_name, row_number() OVER (ORDER BY length(ref_name) DESC, ref_id) AS priority FROM running_list", lambda r: r.select("ref_name", F.row_number().over(_all().orderBy(F.desc(F.length("ref_name")), "ref_id")).cast("bigint").alias("priority")))
 _on("ord_bool_then_num", "employers", "SELECT employer_norm, employer_id FROM (SELECT employer_norm, employer_id, row_number() OVER (PARTITION BY employer_norm ORDER BY naics_code IS NULL, abs(amount_total), employer_id) AS r FROM employers) WHERE r = 1", lambda e: G.first_rows(e.select("employer_norm", "employer_id", "naics_code", "amount_total"), ["employer_norm"], F.col("naics_code").isNull(), F.asc_nulls_last(F.abs("amount_total")), F.col("employer_id")).select("employer_norm", "employer_id"))
-_on("ord_categorical", "contributions", "SELECT office, CASE office WHEN 'Treasurer' THEN 1 WHEN 'State Senate' THEN 2 ELSE 3 END AS sort_key, count(*) AS n FROM contributions GROUP BY 1, 2 ORDER BY 2, 3 DESC", lambda c: c.groupBy("office").agg(n_rows.alias("n")).select("office", F.when(F.col("office") == "Treasurer", 1).when(F.col("office") == "State Senate", 2).otherwise(3).alias("sort_key"), "n").orderBy("sort_key", F.desc("n")))
+_on("ord_categorical", "contributions", "SELECT office, CASE office WHEN 'Treasurer' THEN 1 WHEN 'State Senate' THEN 2 ELSE 3 END AS sort_key, count(*) AS n FROM contributions GROUP BY 1, 2 ORDER BY 2, 3 DESC", lambda c: c.groupBy("office").agg(n_rows().alias("n")).select("office", F.when(F.col("office") == "Treasurer", 1).when(F.col("office") == "State Senate", 2).otherwise(3).alias("sort_key"), "n").orderBy("sort_key", F.desc("n")))
 _on("lim_topn_global", "contributions", "SELECT row_id, recipient_committee_id FROM contributions WHERE recipient_committee_id IN (SELECT recipient_committee_id FROM contributions GROUP BY 1 ORDER BY round(sum(amount), 2) DESC, 1 LIMIT 5)", lambda c: c.select("row_id", "recipient_committee_id").join(F.broadcast(c.groupBy("recipient_committee_id").agg(F.round(F.sum("amount"), 2).alias("t")).orderBy(F.desc("t"), "recipient_committee_id").limit(5).select("recipient_committee_id")), "recipient_committee_id", "left_semi"))
 _on("lim_top_contributors", "contributions", "SELECT contributor_name, round(sum(amount), 2) AS total FROM contributions GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 20", lambda c: c.groupBy("contributor_name").agg(F.round(F.sum("amount"), 2).alias("total")).orderBy(F.desc_nulls_last("total"), "contributor_name").limit(20))
 _on("smp_random", "contributors", "SELECT name_id FROM contributors ORDER BY md5(name_id || '|42'), name_id LIMIT 100", lambda c: G.sample_rows(c.select("name_id"), 100, "name_id"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.functions.rewrites import squish_sql, strip_sql
+from tallyloom.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,17 @@ def expanded(sql: str) -> str:
     return sql
 
 
+def shipped(f: Query) -> Query:
+    """f with this package at hand on the executors."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 @dataclass
 class Registry:
     queries: dict[str, Query] = field(default_factory=dict)
@@ -44,7 +57,7 @@ class Registry:
         def register(f: Query) -> Query:
             if name in self.queries:
                 raise ValueError(f"query {name} is registered twice")
-            self.queries[name] = f
+            self.queries[name] = shipped(f)
             if sql is not None:
                 self.sql[name] = expanded(sql)
             return f

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,23 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once in a Spark context, so that they need no copy of the repository."""
+    context = spark.sparkContext
+    if id(context) in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyloom-"), "tallyloom.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent))
+    context.addPyFile(archive)
+    _SHIPPED.add(id(context))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

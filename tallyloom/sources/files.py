@@ -39,7 +39,8 @@ def find_column(names: list[str], *candidates: str) -> str | None:
 def read_csv(spark: SparkSession, path: str, names: list[str] | None = None, encoding: str = "UTF-8") -> DataFrame:
     """A CSV with a header, all columns text, blanks kept; a given list of names fixes the schema, so the file is read once."""
     reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
-    return (reader.schema(text_schema(names)) if names else reader.option("inferSchema", False)).csv(path)
+    raw = (reader.schema(text_schema(names)) if names else reader.option("inferSchema", False)).csv(path)
+    return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])  # the reader makes bare blanks null
 
 
 def read_csv_typed(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
