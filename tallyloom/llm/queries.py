@@ -140,8 +140,8 @@ def _linked(spark: SparkSession, d: str) -> DataFrame:
         F.col("edd_naics_code").alias("code"),
     )
     places = cut(place_names(left.select("city", "zip").unionByName(right.select("city", "zip"))), "places")
-    words = common_words(left.select("name").unionByName(right.select("name")))
-    return match_sources(with_place(left, places), with_place(right, places), words)
+    names = left.select("name").unionByName(right.select("name"))
+    return match_sources(with_place(left, places), with_place(right, places), common_words(names), common_words(names, share=500))
 
 
 @registry.add("p1_found")
