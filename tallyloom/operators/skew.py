@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.session import cut
+
 
 def value_frequencies(df: DataFrame, key: str, value: str, keep: Column | None = None) -> DataFrame:
     """One row (key, value, freq) for each different pair.
@@ -38,7 +40,8 @@ def percentile_per_key(freqs: DataFrame, q: float) -> DataFrame:
     """
     f = freqs.filter("value IS NOT NULL")
     n = f.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")
-    ranged = f.repartitionByRange(int(n), "value").withColumn("part", F.spark_partition_id())
+    # stored, as ranges are sampled anew and merged anew whenever they are computed
+    ranged = cut(f.repartitionByRange(int(n), "value").withColumn("part", F.spark_partition_id()), "ranges")
     per_part = ranged.groupBy("key", "part").agg(F.sum("freq").alias("w"))
     by_part = Window.partitionBy("key").orderBy("part")
     placed = (

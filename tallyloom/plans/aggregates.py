@@ -9,7 +9,7 @@ from tallyloom.functions import values
 from tallyloom.functions.rewrites import strip
 from tallyloom.operators import groups as G
 from tallyloom.plans.registry import Registry
-from tallyloom.session import table
+from tallyloom.session import cut, table
 
 registry = Registry()
 
@@ -138,7 +138,7 @@ _on(
     "agg_coverage",
     "employers",
     "SELECT coalesce(data_source_1, 'unmatched') AS source, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS share FROM employers GROUP BY 1",
-    lambda e: e.groupBy(F.coalesce("data_source_1", F.lit("unmatched")).alias("source")).agg(n_rows().alias("n")).crossJoin(F.broadcast(e.agg(n_rows().alias("all")))).select("source", "n", F.round(100.0 * F.col("n") / F.col("all"), 4).alias("share")),
+    lambda e: e.groupBy(F.coalesce("data_source_1", F.lit("unmatched")).alias("source")).agg(n_rows().alias("n")).select("source", "n", F.round(100.0 * F.col("n") / F.sum("n").over(_all()), 4).alias("share")),
 )
 _TIER_SQL = "CASE WHEN amount >= 100000 THEN '100k and more' WHEN amount >= 10000 THEN '10k to 100k' WHEN amount >= 1000 THEN '1k to 10k' ELSE 'under 1k' END"
 _on(
@@ -235,6 +235,7 @@ _on("smp_batch_slice", "contributors", "SELECT name_id FROM (SELECT name_id, row
 
 
 def _all():
+    """One window over all groups; for results with few rows only."""
     from pyspark.sql import Window
 
     return Window.partitionBy(F.lit(1))
@@ -245,7 +246,8 @@ def _numbered(df: DataFrame, key: str) -> DataFrame:
     from pyspark.sql import Window
 
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id())
+    # stored, as ranges are sampled anew and merged anew whenever they are computed
+    ranged = cut(df.repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id()), "ranges")
     counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(F.lit(1)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))  # one row a partition

@@ -31,11 +31,19 @@ def local_session(cpus: int | str = 8, **conf: str) -> SparkSession:
 
 
 _SHIPPED: set[int] = set()
+#: Bytes of an Arrow batch sent to Python, so that ten thousand long texts are not held at once; a lower session setting stays.
+BATCH_BYTES = 32 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once in a Spark context, so that they need no copy of the repository."""
+    """Sends this package to the executors, once in a Spark context, so that they need no copy of the repository.
+
+    Also bounds the bytes of a batch sent to Python in this session.
+    """
     context = spark.sparkContext
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound, None) in (None, str(2**31 - 1), f"{2**31 - 1}b"):
+        spark.conf.set(bound, str(BATCH_BYTES))
     if id(context) in _SHIPPED:
         return
     here = Path(__file__).resolve().parent
