@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import shutil
+import time
+import zipfile
 from collections.abc import Callable, Iterator
+from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -111,6 +116,20 @@ def looked_up(keys: DataFrame, cache: DataFrame, key: str, fetch: Callable[[str]
     return hit.unionByName(miss.mapInArrow(run, schema))
 
 
+def retrying(fetch: Callable[[str], dict], waits: tuple[float, ...] = (1.0, 2.0, 4.0)) -> Callable[[str], dict]:
+    """fetch, tried again after each wait in seconds; the last failure is raised."""
+
+    def run(key: str) -> dict:
+        for wait in waits:
+            try:
+                return fetch(key)
+            except Exception:
+                time.sleep(wait)
+        return fetch(key)
+
+    return run
+
+
 def consolidated(frames: list[DataFrame], key: str, order: str) -> DataFrame:
     """Earlier outputs as one: columns by name, absent ones null, the last row of each key by order."""
     both = frames[0]
@@ -149,3 +168,47 @@ def versioned(path: str, version: str) -> str:
     if not re.fullmatch(r"[\w.-]+", version):
         raise ValueError("a version is made of letters, digits, '.', '_' and '-'")
     return f"{path.rstrip('/')}/version={version}"
+
+
+def extract_members(archive: str, suffixes: tuple[str, ...], target: str) -> list[str]:
+    """Extracts the members of a zip whose names end with a suffix, whatever the case; on the driver, for staging. Gives their paths.
+
+    Members are written under their bare names, so no member can leave the target folder. A suffix without a member is an error.
+    """
+    os.makedirs(target, exist_ok=True)
+    out = []
+    with zipfile.ZipFile(archive) as z:
+        for suffix in suffixes:
+            name = next((n for n in z.namelist() if n.lower().endswith(suffix.lower())), None)
+            if name is None:
+                raise FileNotFoundError(f"no member ends with {suffix}")
+            path = os.path.join(target, os.path.basename(name))
+            with z.open(name) as source, open(path, "wb") as sink:
+                shutil.copyfileobj(source, sink)
+            out.append(path)
+    return out
+
+
+_SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+
+
+def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, skip: int = 0, most_mb: int = 64) -> DataFrame:
+    """A worksheet as text columns, its header after `skip` rows; read on the driver, so larger files than most_mb are refused."""
+    if os.path.getsize(path) > most_mb << 20:
+        raise ValueError(f"{path} has more than {most_mb} MB; convert it to Parquet first")
+    with zipfile.ZipFile(path) as z:
+        shared = []
+        if "xl/sharedStrings.xml" in z.namelist():
+            shared = ["".join(t.text or "" for t in s.iter(f"{_SHEET}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_SHEET}si")]
+        cells: list[dict[str, str]] = []
+        for row in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{sheet}.xml")).iter(f"{_SHEET}row"):
+            found = {}
+            for c in row.iter(f"{_SHEET}c"):
+                value = c.findtext(f"{_SHEET}v")
+                text = "".join(t.text or "" for t in c.iter(f"{_SHEET}t")) if c.get("t") == "inlineStr" else shared[int(value)] if c.get("t") == "s" and value else value
+                found[re.sub(r"\d", "", c.get("r", ""))] = text or ""
+            cells.append(found)
+    columns = sorted({k for r in cells[skip:] for k in r}, key=lambda k: (len(k), k))
+    header, body = cells[skip], cells[skip + 1 :]
+    names = [header.get(k) or k for k in columns]
+    return spark.createDataFrame([[r.get(k, "") for k in columns] for r in body], text_schema(names))

@@ -205,3 +205,40 @@ def test_sql_macros_nest():
 def test_pushdown_and_pruning(spark, sf):
     plan = spark.read.parquet(f"{sf}/contributions.parquet").filter("amount >= 5000").select("row_id", "amount")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(amount), GreaterThanOrEqual(amount,5000.0)]" in plan and "ReadSchema: struct<row_id:bigint,amount:double>" in plan
+
+
+def test_staged_archives_and_sheets(spark, tmp_path):
+    import zipfile
+
+    archive = tmp_path / "a.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        z.writestr("Data/Names.TSV", "k\n1\n")
+        z.writestr("../evil.tsv", "no")
+    (out,) = files.extract_members(str(archive), ("names.tsv",), str(tmp_path / "out"))
+    assert open(out).read() == "k\n1\n" and out.startswith(str(tmp_path / "out"))
+    with pytest.raises(FileNotFoundError, match="other.tsv"):
+        files.extract_members(str(archive), ("other.tsv",), str(tmp_path / "out"))
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    book = tmp_path / "b.xlsx"
+    with zipfile.ZipFile(book, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>name</t></si><si><t>Acme</t></si></sst>")
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData><row><c r="A1"><v>title</v></c></row><row><c r="A2" t="s"><v>0</v></c><c r="B2" t="inlineStr"><is><t>n</t></is></c></row><row><c r="A3" t="s"><v>1</v></c></row></sheetData></worksheet>')
+    sheet = files.read_xlsx(spark, str(book), skip=1)
+    assert sheet.columns == ["name", "n"] and rows(sheet) == [("Acme", "")]
+
+
+def test_retries_end():
+    tried = []
+
+    def fetch(key):
+        tried.append(key)
+        if len(tried) < 3:
+            raise ConnectionError
+        return {}
+
+    assert files.retrying(fetch, waits=(0.0, 0.0))("k") == {} and len(tried) == 3
+
+
+def test_header_tolerance():
+    assert files.header_names([" Contributor.Name ", "Ballot  Measure(s)"]) == ["CONTRIBUTOR NAME", "BALLOT MEASURE(S)"]
+    assert files.find_column(["Contributor.Name", "x"], "contributor name") == "Contributor.Name" and files.find_column([], "a") is None
