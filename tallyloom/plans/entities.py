@@ -90,11 +90,20 @@ def er_freq_threshold(spark: SparkSession, d: str) -> DataFrame:
 _EDGES = "SELECT l_suppkey AS parent, l_partkey % (SELECT count(*) FROM supplier) AS child, round(sum(l_extendedprice), 2) AS amount FROM lineitem WHERE l_quantity >= 50 AND l_linenumber = 1 AND l_suppkey <> l_partkey % (SELECT count(*) FROM supplier) GROUP BY 1, 2"
 
 
-def money_edges(spark: SparkSession, d: str, acyclic: bool = False) -> DataFrame:
-    """Money between committees, played by suppliers and the parts they sell."""
+def _edges(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
     n = table(spark, d, "supplier").count()
-    l = table(spark, d, "lineitem").filter("l_quantity >= 50 AND l_linenumber = 1").select(F.col("l_suppkey").alias("parent"), F.pmod("l_partkey", F.lit(n)).alias("child"), "l_extendedprice").filter("parent <> child")
-    e = l.groupBy("parent", "child").agg(F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+    l = rows.select(F.col("l_suppkey").alias("parent"), F.pmod("l_partkey", F.lit(n)).alias("child"), "l_extendedprice").filter("parent <> child")
+    return l.groupBy("parent", "child").agg(F.round(F.sum("l_extendedprice"), 2).alias("amount"))
+
+
+def money_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Money between committees, played by suppliers and the parts they sell, from all rows."""
+    return _edges(spark, d, table(spark, d, "lineitem"))
+
+
+def thinned_edges(spark: SparkSession, d: str, acyclic: bool = False) -> DataFrame:
+    """The edges of _EDGES, for the queries whose SQL is stated on that thinned graph."""
+    e = _edges(spark, d, table(spark, d, "lineitem").filter("l_quantity >= 50 AND l_linenumber = 1"))
     return e.filter("parent < child") if acyclic else e
 
 
@@ -104,7 +113,7 @@ def money_edges(spark: SparkSession, d: str, acyclic: bool = False) -> DataFrame
         SELECT node, min(seen) AS component FROM r GROUP BY 1""",
 )
 def er_components(spark: SparkSession, d: str) -> DataFrame:
-    return graph.components(money_edges(spark, d).select(F.col("parent").alias("a"), F.col("child").alias("b")))
+    return graph.components(thinned_edges(spark, d).select(F.col("parent").alias("a"), F.col("child").alias("b")))
 
 
 @add("er_cluster_uuid", "SELECT e.employer_norm AS cluster, CASE WHEN count(DISTINCT r.ref_id) = 0 THEN 'new' WHEN count(DISTINCT r.ref_id) = 1 THEN 'reuse' ELSE 'conflict' END AS status FROM employers e LEFT JOIN running_list r ON e.employer_norm = r.name_norm GROUP BY 1")
@@ -201,7 +210,7 @@ def gr_aggregate(spark: SparkSession, d: str) -> DataFrame:
         SELECT seed, node, min(depth) AS depth FROM r GROUP BY 1, 2""",
 )
 def gr_traverse_bfs(spark: SparkSession, d: str) -> DataFrame:
-    e = money_edges(spark, d)
+    e = thinned_edges(spark, d)
     return graph.reachable(e, e.filter("parent < 10").select(F.col("parent").alias("node")), 5)
 
 
@@ -220,7 +229,7 @@ def gr_type_priority(spark: SparkSession, d: str) -> DataFrame:
 
 @add("gr_classifiability", f"WITH e AS ({_EDGES}), i AS (SELECT child AS node, sum(amount) AS got FROM e GROUP BY 1), o AS (SELECT parent AS node, sum(amount) AS gave FROM e GROUP BY 1) SELECT node, round(got / gave, 6) AS sufficiency FROM i JOIN o USING (node) WHERE gave > 0")
 def gr_classifiability(spark: SparkSession, d: str) -> DataFrame:
-    e = money_edges(spark, d)
+    e = thinned_edges(spark, d)
     got, gave = (e.groupBy(F.col(c).alias("node")).agg(F.sum("amount").alias(n)) for c, n in (("child", "got"), ("parent", "gave")))
     return got.join(gave, "node").filter("gave > 0").select("node", F.round(F.col("got") / F.col("gave"), 6).alias("sufficiency"))
 
@@ -236,7 +245,7 @@ def gr_resolvable_tag(spark: SparkSession, d: str) -> DataFrame:
         SELECT node, max(l) AS layer FROM r GROUP BY 1""",
 )
 def gr_topo_order(spark: SparkSession, d: str) -> DataFrame:
-    return graph.layers(money_edges(spark, d, acyclic=True))
+    return graph.layers(thinned_edges(spark, d, acyclic=True))
 
 
 @add("gr_cycles")
@@ -261,7 +270,7 @@ def gr_industry_distribution(spark: SparkSession, d: str) -> DataFrame:
         SELECT r.node, round(sum(r.amount) / any_value(w.whole), 4) AS fraction FROM r JOIN w ON w.node = r.node GROUP BY 1""",
 )
 def gr_resolvable_fraction(spark: SparkSession, d: str) -> DataFrame:
-    e = money_edges(spark, d, acyclic=True)
+    e = thinned_edges(spark, d, acyclic=True)
     own = table(spark, d, "supplier").select(F.col("s_suppkey").alias("node"), F.lit("own").alias("label"), F.lit(50000.0).alias("amount"))
     known = graph.passed_down(e, own, 8).groupBy("node").agg(F.sum("amount").alias("known"))
     came = e.groupBy(F.col("parent").alias("node")).agg(F.sum("amount").alias("came"))
@@ -293,10 +302,10 @@ def gr_breakdown_assembly(spark: SparkSession, d: str) -> DataFrame:
 @add("gr_seed_coverage", f"WITH e AS ({_EDGES}) SELECT parent AS seed, round(sum(CASE WHEN s.s_acctbal > 0 THEN amount ELSE 0 END) / sum(amount), 6) AS coverage FROM e JOIN supplier s ON s.s_suppkey = e.child GROUP BY 1")
 def gr_seed_coverage(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("child"), "s_acctbal")
-    return money_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("seed")).agg(F.round(F.sum(F.when(F.col("s_acctbal") > 0, F.col("amount")).otherwise(0.0)) / F.sum("amount"), 6).alias("coverage"))
+    return thinned_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("seed")).agg(F.round(F.sum(F.when(F.col("s_acctbal") > 0, F.col("amount")).otherwise(0.0)) / F.sum("amount"), 6).alias("coverage"))
 
 
 @add("gr_pac_review_queue", f"WITH e AS ({_EDGES}) SELECT parent AS node, string_agg(DISTINCT n.n_name, ' | ' ORDER BY n.n_name) AS labels FROM e JOIN supplier s ON s.s_suppkey = e.child JOIN nation n ON n.n_nationkey = s.s_nationkey GROUP BY 1 HAVING count(DISTINCT n.n_name) > 1")
 def gr_pac_review_queue(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("child"), "n_name")
-    return money_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("node")).agg(F.array_sort(F.collect_set("n_name")).alias("l")).filter("size(l) > 1").select("node", F.array_join("l", " | ").alias("labels"))
+    return thinned_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("node")).agg(F.array_sort(F.collect_set("n_name")).alias("l")).filter("size(l) > 1").select("node", F.array_join("l", " | ").alias("labels"))
