@@ -10,7 +10,7 @@ from tallyloom.operators import entities as E
 from tallyloom.operators import graph
 from tallyloom.operators.groups import best_row, conflicts
 from tallyloom.plans.registry import Registry
-from tallyloom.session import table
+from tallyloom.session import cut, table
 
 registry = Registry()
 add = registry.add
@@ -58,26 +58,43 @@ def er_org_links(spark: SparkSession, d: str) -> DataFrame:
     return _zip_pairs(spark, d).select("id_a", "id_b", F.round("jw", 6).alias("jw"), F.round("cosine", 6).alias("cosine"), "link")
 
 
-@add("er_indiv_block")
-def er_indiv_block(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "contributors").filter("entity_kind = 'individual'").select("name_id", "contributor_zip_code", text.person_name(F.col("contributor_name")).alias("p"))
-    keyed = p.select("name_id", F.substring("contributor_zip_code", 1, 5).alias("zip"), similarity.phonetic_key(F.col("p.last")).alias("sound"), F.substring("p.first", 1, 1).alias("initial"))
+def _individuals(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "contributors").filter("entity_kind = 'individual'").withColumn("p", text.person_name(F.col("contributor_name")))
+    status = lambda f: text.work_status(F.col(f))
+    return c.select("name_id", F.substring("contributor_zip_code", 1, 5).alias("zip"), F.col("p.last").alias("last"), F.col("p.first").alias("first"), status("contributor_employer").alias("emp"), status("contributor_occupation").alias("occ"), text.standardize_city(F.col("contributor_city")).alias("city"))
+
+
+def _indiv_pairs(people: DataFrame) -> DataFrame:
+    keyed = people.select("name_id", "zip", similarity.phonetic_key(F.col("last")).alias("sound"), F.substring("first", 1, 1).alias("initial"))
     by_zip = E.pairs_within(keyed, ["sound", "zip"], "name_id").select("id_a", "id_b")
     return by_zip.unionByName(E.pairs_within(keyed, ["sound", "initial"], "name_id").select("id_a", "id_b")).distinct()
 
 
+@add("er_indiv_block")
+def er_indiv_block(spark: SparkSession, d: str) -> DataFrame:
+    return _indiv_pairs(_individuals(spark, d))
+
+
+#: Employers and occupations that tell nothing about a person.
+UNINFORMATIVE = ("", "UNKNOWN", "RETIRED", "NONE", "NOT EMPLOYED", "UNEMPLOYED", "SELF EMPLOYED")
+
+
 @add("er_indiv_compare")
 def er_indiv_compare(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "contributors").filter("entity_kind = 'individual'").select("name_id", "contributor_zip_code", "contributor_employer", "contributor_occupation", text.person_name(F.col("contributor_name")).alias("p"))
-    side = p.select("name_id", F.substring("contributor_zip_code", 1, 5).alias("zip"), F.col("p.last").alias("last"), F.col("p.first").alias("first"), F.col("p.middle").alias("middle"), F.upper("contributor_employer").alias("emp"), F.upper("contributor_occupation").alias("occ"))
-    a, b = (side.select("zip", F.substring("last", 1, 4).alias("head"), *[F.col(c).alias(f"{x}_{c}") for c in side.columns if c != "zip"]) for x in "ab")
-    pairs = a.join(b, ["zip", "head"]).filter("a_name_id < b_name_id")
-    both = lambda c: F.col(f"a_{c}").isNotNull() & F.col(f"b_{c}").isNotNull()
-    jw = lambda c: similarity.jaro_winkler(F.coalesce(f"a_{c}", F.lit("")), F.coalesce(f"b_{c}", F.lit("")))
+    """Pairs of er_indiv_block by six comparators; employer and occupation have no weight where neither side tells one."""
+    people = cut(_individuals(spark, d), "people")
+    side = lambda x: people.select(F.col("name_id").alias(f"id_{x}"), *[F.col(c).alias(f"{x}_{c}") for c in people.columns if c != "name_id"])
+    pairs = _indiv_pairs(people).join(side("a"), "id_a").join(side("b"), "id_b")
+    jw = lambda c: F.coalesce(similarity.jaro_winkler(F.col(f"a_{c}"), F.col(f"b_{c}")), F.lit(0.0))
     same = lambda c: F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False)).cast("double")
-    score = E.weighted_score([(jw("last"), 0.35, both("last")), (jw("first"), 0.35, both("first")), (same("middle"), 0.1, both("middle")), (same("emp"), 0.1, both("emp")), (same("occ"), 0.1, both("occ"))])
+    tells = lambda x, c: ~F.coalesce(F.col(f"{x}_{c}"), F.lit("")).isin(*UNINFORMATIVE)
+    either = lambda c: tells("a", c) | tells("b", c)
+    both = lambda c, s: F.when(tells("a", c) & tells("b", c), s).otherwise(0.0)
+    always = F.lit(True)
+    cosine = similarity.bigram_cosine(F.col("a_emp"), F.col("b_emp"))
+    score = E.weighted_score([(jw("last"), 0.3, always), (jw("first"), 0.25, always), (both("emp", cosine), 0.25, either("emp")), (both("occ", same("occ")), 0.1, either("occ")), (same("zip"), 0.07, always), (jw("city"), 0.03, always)])
     tier = F.when(F.col("score") >= 0.92, "auto").when(F.col("score") >= 0.8, "review").otherwise("none")
-    return pairs.withColumn("score", score).select(F.col("a_name_id").alias("id_a"), F.col("b_name_id").alias("id_b"), F.round("score", 6).alias("score"), tier.alias("link"))
+    return pairs.withColumn("score", score).select("id_a", "id_b", F.round("score", 6).alias("score"), tier.alias("link"))
 
 
 @add("er_freq_threshold", "SELECT name_id, CASE WHEN f.n >= 50 THEN 0.95 WHEN f.n >= 10 THEN 0.9 WHEN f.n >= 3 THEN 0.85 ELSE 0.8 END::DOUBLE AS least FROM (SELECT name_id, split_part(upper(contributor_name), ',', 1) AS k FROM contributors) c JOIN (SELECT split_part(upper(contributor_name), ',', 1) AS k, count(*) AS n FROM contributors GROUP BY 1) f USING (k)")

@@ -44,3 +44,21 @@ def test_industries_come_from_all_rows(spark, graph_tables):
         now = new
     got = {(r["node"], r["label"]): r["amount"] for r in QUERIES["gr_industry_distribution"](spark, d).collect()}
     assert got == {k: pytest.approx(v, abs=0.011) for k, v in now.items()}
+
+
+def test_people_are_compared_across_zips_and_slips(spark, tmp_path):
+    fields = "name_id long, contributor_name string, contributor_employer string, contributor_occupation string, contributor_city string, contributor_zip_code string, entity_kind string"
+    rows = [
+        (1, "SMITH, ANN", "ACME PLUMBING", "PLUMBER", "ELK FERRY", "90001", "individual"),
+        (2, "SMITH, ANN", "ACME PLUMBING", "PLUMBER", "ELK FERRY", "90777", "individual"),
+        (3, "SMITH, ANN", None, None, "ELK FERRY", None, "individual"),
+        (4, "SMYTH, BO", "RETIRED", "RETIRED", "ELK FERRY", "90001", "individual"),
+        (5, "JONES, ANN", "ACME PLUMBING", "PLUMBER", "ELK FERRY", "90001", "individual"),
+    ]
+    spark.createDataFrame(rows, fields).write.parquet(f"{tmp_path}/contributors.parquet")
+    got = {(r["id_a"], r["id_b"]): r["score"] for r in QUERIES["er_indiv_compare"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(r["id_a"], r["id_b"]) for r in QUERIES["er_indiv_block"](spark, str(tmp_path)).collect()} == {(1, 2), (1, 3), (2, 3), (1, 4)}
+    assert got[1, 2] == pytest.approx(0.93)
+    assert got[1, 3] == pytest.approx((0.3 + 0.25 + 0.03) / 1)
+    # SMITH/SMYTH have a Jaro-Winkler of 0.893333, ANN/BO of 0; one side tells an employer and an occupation
+    assert got[1, 4] == pytest.approx(0.3 * 0.893333 + 0.07 + 0.03, abs=2e-6)
