@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from tallyloom.functions import text
 from tallyloom.functions.similarity import bigram_cosine, jaro_winkler
 from tallyloom.operators.graph import components
 from tallyloom.operators.joins import not_in, pairs_within
+from tallyloom.session import cut
 
 
 def name_variants(c: Column) -> list[Column]:
@@ -43,11 +48,61 @@ def scored_pairs(df: DataFrame, block: list[str], ident: str, name: str, auto: f
     left = names.select(*block, F.col(ident).alias("id_a"), F.col(name).alias("a"))
     right = names.select(*block, F.col(ident).alias("id_b"), F.col(name).alias("b"))
     pairs = left.join(right, block).filter("id_a < id_b").withColumn("cosine", bigram_cosine(F.col("a"), F.col("b"))).filter("cosine >= 0.5")
+    return _linked(pairs, auto, review)
+
+
+def _linked(pairs: DataFrame, auto: float, review: float) -> DataFrame:
     scored = pairs.withColumn("jw", jaro_winkler(F.col("a"), F.col("b"))).filter("jw >= 0.7")
     mean = (F.col("jw") + F.col("cosine")) / 2
     return scored.select("id_a", "id_b", "jw", "cosine", F.when(mean >= auto, "auto").when(mean >= review, "review").otherwise("none").alias("link"))
 
 
+#: Different names in a block of similar_pairs, and bigrams counted at a time; two blocks are compared as a product of matrices.
+BLOCK_NAMES, BLOCK_GRAMS = 1000, 1024
+
+
+def similar_pairs(df: DataFrame, ident: str, name: str, auto: float = 0.9, review: float = 0.85, least: float = 0.5) -> DataFrame:
+    """(id_a, id_b, jw, cosine, link): as scored_pairs, but over all pairs of different names; ident is unique.
+
+    A bigram cosine of 0.5 is too low for an index that loses nothing, as one frequent ending reaches it. So names are dealt to
+    blocks, and each pair of blocks is a task that multiplies their bigram counts; its work is the square of the different names.
+    """
+    names = cut(df.filter(F.length(name) > 1).groupBy(F.col(name).alias("text")).agg(F.min(ident).alias("id")), "names")
+    blocks = max(1, -(-names.count() // BLOCK_NAMES))
+    dealt = names.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    sent = dealt.select("id", "text", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def multiply(group: pd.DataFrame) -> pd.DataFrame:
+        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        left, right = group[group["own"] == i], group[group["own"] == j]
+        counts = [[Counter(t[k : k + 2] for k in range(len(t) - 1)) for t in side["text"]] for side in (left, right)]
+        shared = sorted(set().union(*counts[0]) & set().union(*counts[1]))
+        dot = np.zeros((len(left), len(right)), "float32")  # sums of whole numbers, exact below 2 ** 24
+        for start in range(0, len(shared), BLOCK_GRAMS):
+            at = {g: k for k, g in enumerate(shared[start : start + BLOCK_GRAMS])}
+            x, y = (np.zeros((len(c), len(at)), "float32") for c in counts)
+            for matrix, c in ((x, counts[0]), (y, counts[1])):
+                for row, grams in enumerate(c):
+                    for g, n in grams.items():
+                        if (k := at.get(g)) is not None:
+                            matrix[row, k] = n
+            dot += x @ y.T
+        norm = [np.sqrt([float(sum(n * n for n in grams.values())) for grams in c]) for c in counts]
+        rows, columns = np.nonzero(dot)
+        cosine = dot[rows, columns].astype("float64") / (norm[0][rows] * norm[1][columns])
+        kept = cosine >= least
+        a, b = left.iloc[rows[kept]].reset_index(drop=True), right.iloc[columns[kept]].reset_index(drop=True)
+        out = pd.DataFrame({"id_a": a["id"], "id_b": b["id"], "a": a["text"], "b": b["text"], "cosine": cosine[kept]})
+        if i == j:
+            return out[out["id_a"] < out["id_b"]]
+        turn = out["id_a"] > out["id_b"]
+        out.loc[turn, ["id_a", "id_b", "a", "b"]] = out.loc[turn, ["id_b", "id_a", "b", "a"]].to_numpy()
+        return out
+
+    kind = dict(names.dtypes)["id"]
+    return _linked(sent.groupBy("i", "j").applyInPandas(multiply, f"id_a {kind}, id_b {kind}, a string, b string, cosine double"), auto, review)
+
+
 def weighted_score(parts: list[tuple[Column, float, Column]]) -> Column:
     """Scores (score, weight, informative) with the weights of the informative ones brought to a sum of 1; null if none is."""
     total = sum((F.when(known, F.lit(w)).otherwise(0.0) for _, w, known in parts), F.lit(0.0))
@@ -80,4 +135,4 @@ def appended_names(registry: DataFrame, names: DataFrame) -> DataFrame:
     return registry.select("name", "entity", F.lit(True).alias("confirmed")).unionByName(fresh.select("name", "entity", F.lit(False).alias("confirmed")))
 
 
-__all__ = ["appended_names", "entity_groups", "exact_cascade", "name_variants", "pairs_within", "registry_links", "scored_pairs", "weighted_score"]
+__all__ = ["appended_names", "entity_groups", "exact_cascade", "name_variants", "pairs_within", "registry_links", "scored_pairs", "similar_pairs", "weighted_score"]

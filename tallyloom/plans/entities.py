@@ -55,7 +55,8 @@ def er_org_fuzzy(spark: SparkSession, d: str) -> DataFrame:
 
 @add("er_org_links")
 def er_org_links(spark: SparkSession, d: str) -> DataFrame:
-    return _zip_pairs(spark, d).select("id_a", "id_b", F.round("jw", 6).alias("jw"), F.round("cosine", 6).alias("cosine"), "link")
+    pairs = E.similar_pairs(table(spark, d, "employers").select("employer_id", "employer_norm"), "employer_id", "employer_norm")
+    return pairs.select("id_a", "id_b", F.round("jw", 6).alias("jw"), F.round("cosine", 6).alias("cosine"), "link")
 
 
 def _individuals(spark: SparkSession, d: str) -> DataFrame:

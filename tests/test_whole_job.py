@@ -62,3 +62,32 @@ def test_people_are_compared_across_zips_and_slips(spark, tmp_path):
     assert got[1, 3] == pytest.approx((0.3 + 0.25 + 0.03) / 1)
     # SMITH/SMYTH have a Jaro-Winkler of 0.893333, ANN/BO of 0; one side tells an employer and an occupation
     assert got[1, 4] == pytest.approx(0.3 * 0.893333 + 0.07 + 0.03, abs=2e-6)
+
+
+def test_organisations_meet_without_zip_and_after_slips(spark, tmp_path, monkeypatch):
+    import math
+    import random
+    from collections import Counter
+
+    from tallyloom.functions.similarity import jaro_winkler_text
+    from tallyloom.operators import entities
+
+    monkeypatch.setattr(entities, "BLOCK_NAMES", 25)
+    random.seed(4)
+    names = ["ZORAN COMMUNITY SERVICES", "OZRAN COMMUNITY SERVICES", "A", ""] + [" ".join(random.sample(["ACME", "ZORAN", "COMMUNITY", "SERVICES", "PLUMBING", "CO", "AACME"], 3)) for _ in range(60)]
+    rows = [(i, n, random.choice([None, "90001", "90777"])) for i, n in enumerate(names)] + [(200, "ACME", None), (201, None, None)]
+    spark.createDataFrame(rows, "employer_id long, employer_norm string, employer_zip string").write.parquet(f"{tmp_path}/employers.parquet")
+    first = {}
+    for i, n, _ in rows:
+        if n and len(n) > 1:
+            first.setdefault(n, i)
+    want = {}
+    for a in first:
+        for b in first:
+            x, y = (Counter(t[k : k + 2] for k in range(len(t) - 1)) for t in (a, b))
+            cosine = sum(x[g] * y[g] for g in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+            if first[a] < first[b] and cosine >= 0.5 - 1e-12 and jaro_winkler_text(a, b) >= 0.7:
+                want[first[a], first[b]] = round(cosine, 6)
+    assert (0, 1) in want
+    got = {(r["id_a"], r["id_b"]): r["cosine"] for r in QUERIES["er_org_links"](spark, str(tmp_path)).collect()}
+    assert got == {k: pytest.approx(v, abs=2e-6) for k, v in want.items()}
