@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, StringIndexer, Tokenizer
@@ -15,13 +17,26 @@ def words(c):
     return F.filter(F.split(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def tfidf(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9) -> DataFrame:
-    """(key, term, weight): sublinear TF-IDF, unit length, of words that at least `least` rows and at most a share `most` of rows hold.
+def word_grams(c):
+    """The words of a text and its pairs of words that follow each other."""
+    w = words(c)
+    pairs = F.when(F.size(w) > 1, F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1))))
+    return F.concat(w, F.coalesce(pairs, F.array().cast("array<string>")))
+
+
+def char_grams(c, least: int = 2, most: int = 5):
+    """The grams of `least` to `most` characters of a text's words, each word between two blanks."""
+    of = lambda w: F.flatten(F.transform(F.sequence(F.lit(least), F.least(F.lit(most), F.length(w))), lambda n: F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, n))))
+    return F.flatten(F.transform(words(c), lambda w: of(F.concat(F.lit(" "), w, F.lit(" ")))))
+
+
+def tfidf(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9, terms=words) -> DataFrame:
+    """(key, term, weight): sublinear TF-IDF, unit length, of terms (words, if not given) that at least `least` rows and at most a share `most` of rows hold.
 
     idf is ln((1 + n) / (1 + df)) + 1. Terms are rows, so the vocabulary is not bounded by memory.
     """
-    terms = df.select(F.col(key).alias("key"), F.explode(words(F.col(text))).alias("term"))
-    tf = terms.groupBy("key", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf"))
+    held = df.select(F.col(key).alias("key"), F.explode(terms(F.col(text))).alias("term"))
+    tf = held.groupBy("key", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf"))
     n = df.count()
     counts = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter((F.col("df") >= least) & (F.col("df") <= most * n))
     weighed = tf.join(counts, "term").select("key", "term", (F.col("tf") * (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1)).alias("w"))
@@ -41,6 +56,56 @@ def nearest_by_terms(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     return dots.withColumn("r", rank).filter(F.col("r") <= k).drop("r")
 
 
+def stacked_tfidf(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, term, weight): TF-IDF of words and word pairs beside that of character grams, each of unit length, brought to it together."""
+    both = [tfidf(df, key, text, terms=t).withColumn("term", F.concat(F.lit(p), "term")) for p, t in (("w:", word_grams), ("c:", char_grams))]
+    stacked = both[0].unionByName(both[1])
+    length = stacked.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("l"))
+    return stacked.join(length, "key").select("key", "term", (F.col("weight") / F.col("l")).alias("weight"))
+
+
+#: Rows of a block of nearest_in_blocks.
+BLOCK_ROWS = 1000
+
+
+def nearest_in_blocks(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """As nearest_by_terms, for terms that many rows hold: blocks of rows are multiplied in tasks, so no product is a shuffled row."""
+
+    def dealt(side: DataFrame, own: str, other: str, others: int, blocks: int) -> DataFrame:
+        rows = side.select(F.lit(own).alias("side"), "key", "term", "weight", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias(own))
+        return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    n_q, n_i = (max(1, -(-x.select("key").distinct().count() // BLOCK_ROWS)) for x in (queries, items))
+    sent = dealt(queries, "q", "i", n_i, n_q).unionByName(dealt(items, "i", "q", n_q, n_i))
+
+    def multiply(group: pd.DataFrame) -> pd.DataFrame:
+        code, _ = pd.factorize(group["term"])
+        first = (group["side"] == "q").to_numpy()
+        sides = []
+        for mine in (first, ~first):
+            row, names = pd.factorize(group["key"][mine])
+            order = np.argsort(code[mine], kind="stable")
+            terms, start = np.unique(code[mine][order], return_index=True)
+            end = np.append(start[1:], len(order))
+            sides.append((names.to_numpy(), row[order], group["weight"].to_numpy()[mine][order], dict(zip(terms, zip(start, end)))))
+        (q_names, q_row, q_weight, q_at), (i_names, i_row, i_weight, i_at) = sides
+        dot = np.zeros((len(q_names), len(i_names)))
+        for term, (a, b) in q_at.items():
+            if term in i_at:
+                c, e = i_at[term]
+                dot[np.ix_(q_row[a:b], i_row[c:e])] += np.outer(q_weight[a:b], i_weight[c:e])
+        out = []
+        by_name = np.argsort(i_names)
+        for x, sims in zip(q_names, dot):
+            best = by_name[np.argsort(-np.round(sims[by_name], 9), kind="stable")[:k]]
+            out += [(x, i_names[y], float(sims[y])) for y in best if sims[y] > 0]
+        return pd.DataFrame(out, columns=["query", "item", "sim"])
+
+    best = sent.groupBy("q", "i").applyInPandas(multiply, "query string, item string, sim double")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc(F.round("sim", 9)), "item"))
+    return best.withColumn("r", rank).filter(F.col("r") <= k).drop("r")
+
+
 def vote(neighbours: DataFrame, labels: DataFrame) -> DataFrame:
     """(query, label, confidence): similarity-weighted votes of neighbours (query, item, sim) with labels (item, label)."""
     votes = neighbours.join(labels, "item").groupBy("query", "label").agg(F.sum("sim").alias("v"))

@@ -35,10 +35,15 @@ def ml_tfidf_char(spark: SparkSession, d: str) -> DataFrame:
 def ml_knn_vote(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "running_list").filter("level1_category IS NOT NULL")
     both = known.select(F.concat(F.lit("r"), F.col("ref_id")).alias("key"), F.col("name_norm").alias("text")).unionByName(table(spark, d, "employers").select(F.concat(F.lit("e"), F.col("employer_id")).alias("key"), F.col("employer_norm").alias("text")))
-    weights = cut(L.tfidf(both, "key", "text", most=0.05), "tfidf")
-    near = L.nearest_by_terms(weights.filter("key LIKE 'e%'"), weights.filter("key LIKE 'r%'"), 3)
+    # equal texts of one side are looked up once; the best three texts hold the best three rows
+    one = both.groupBy("text", F.substring("key", 1, 1).alias("side")).agg(F.min("key").alias("key"))
+    weights = cut(L.stacked_tfidf(both, "key", "text").join(one.select("key"), "key", "left_semi"), "tfidf")
+    near = L.nearest_in_blocks(weights.filter("key LIKE 'e%'"), weights.filter("key LIKE 'r%'"), 3)
+    rows = both.withColumn("side", F.substring("key", 1, 1)).join(one.withColumnRenamed("key", "first"), ["text", "side"])
+    same = lambda c: rows.select(F.col("first").alias(c), F.col("key").alias(f"{c}_row"))
+    spread = first_rows(near.join(same("item"), "item").select("query", F.col("item_row").alias("item"), "sim"), ["query"], F.desc(F.round("sim", 9)), F.col("item"), n=3)
     labels = known.select(F.concat(F.lit("r"), F.col("ref_id")).alias("item"), F.col("level1_category").alias("label"))
-    return L.vote(near, labels).select(F.substring("query", 2, 20).cast("bigint").alias("employer_id"), "label", F.round("confidence", 6).alias("confidence"))
+    return L.vote(spread, labels).join(same("query"), "query").select(F.substring("query_row", 2, 20).cast("bigint").alias("employer_id"), "label", F.round("confidence", 6).alias("confidence"))
 
 
 _PROTO = "WITH v AS (SELECT vec_id AS id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), c AS (SELECT label, i, avg(x) AS x FROM v GROUP BY 1, 2), n AS (SELECT label, sqrt(sum(x * x)) AS l FROM c GROUP BY 1), s AS (SELECT v.id, c.label, sum(v.x * c.x) / any_value(n.l) AS s FROM v JOIN c USING (i) JOIN n ON n.label = c.label GROUP BY 1, 2) SELECT id, arg_max(label, s) AS label FROM s GROUP BY 1"

@@ -91,3 +91,41 @@ def test_organisations_meet_without_zip_and_after_slips(spark, tmp_path, monkeyp
     assert (0, 1) in want
     got = {(r["id_a"], r["id_b"]): r["cosine"] for r in QUERIES["er_org_links"](spark, str(tmp_path)).collect()}
     assert got == {k: pytest.approx(v, abs=2e-6) for k, v in want.items()}
+
+
+def test_votes_of_neighbours_by_words_and_characters(spark, tmp_path):
+    import math
+    from collections import Counter
+
+    listed = [(0, "ZORAN ROOFING CO", "Construction"), (1, "ACME FARMS INC", "Farming"), (2, "ACME FARMS INC", "Farming"), (3, "BAXTER INC", "Health"), (4, "UNKNOWN", None)]
+    firms = [(0, "ZORANN ROFING"), (1, "ACME FARMS INC"), (2, "QUILL INC"), (3, "ZORANN ROFING"), (4, "BAXTRE")]
+    spark.createDataFrame(listed, "ref_id long, name_norm string, level1_category string").write.parquet(f"{tmp_path}/running_list.parquet")
+    spark.createDataFrame(firms, "employer_id long, employer_norm string").write.parquet(f"{tmp_path}/employers.parquet")
+    texts = {f"r{i}": t.lower() for i, t, label in listed if label} | {f"e{i}": t.lower() for i, t in firms}
+
+    def grams(t):
+        w = t.split()
+        word = Counter(w + [" ".join(x) for x in zip(w, w[1:])])
+        return word, Counter(f" {x} "[i : i + n] for x in w for n in range(2, 6) for i in range(len(x) + 3 - n))
+
+    vectors = {k: {} for k in texts}
+    for kind in (0, 1):
+        df = Counter(g for t in texts.values() for g in grams(t)[kind])
+        for k, t in texts.items():
+            v = {g: (1 + math.log(n)) * (math.log((1 + len(texts)) / (1 + df[g])) + 1) for g, n in grams(t)[kind].items() if 2 <= df[g] <= 0.9 * len(texts)}
+            length = math.sqrt(sum(x * x for x in v.values()))
+            vectors[k] |= {(kind, g): x / length for g, x in v.items()}
+    want = {}
+    for i, _ in firms:
+        norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+        q = vectors[f"e{i}"]
+        sims = sorted((-round(sum(x * v.get(g, 0) for g, x in q.items()) / norm(q) / norm(v), 9), k) for k, v in vectors.items() if k[0] == "r")
+        votes = Counter()
+        for s, k in sims[:3]:
+            if s < 0:
+                votes[listed[int(k[1:])][2]] -= s
+        label, best = max(votes.items(), key=lambda x: x[1])
+        want[i] = (label, pytest.approx(best / sum(votes.values()), abs=2e-6))
+    assert want[0][0] == "Construction" and want[4][0] == "Health"
+    got = {r["employer_id"]: (r["label"], r["confidence"]) for r in QUERIES["ml_knn_vote"](spark, str(tmp_path)).collect()}
+    assert got == want
