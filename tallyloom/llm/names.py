@@ -5,10 +5,11 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from dataclasses import dataclass, field
 
 # Legal forms, titles, generation marks, and branch notes that follow a business name.
 LEGAL = frozenset("INC INCORPORATED LLC LC LLP LP LTD LIMITED CO COMPANY COMPANI CORP CORPORATION PARTNERSHIP LIABILITY PC PLC THE OF AND A AN".split())
+#: Words that say as little of what a business does.
+GENERIC = frozenset("ENTERPRISE ENTERPRISES HOLDING HOLDINGS".split())
 TITLES = frozenset("DR MR MS MRS MISS MD PHD ESQ DDS DVM RN CPA HON PROF REV".split())
 GENERATIONS = frozenset("JR SR II III IV".split())
 BRANCH = re.compile(
@@ -94,7 +95,8 @@ for _line in SHORT_FORMS.strip().splitlines():
         ROOTS[_name] = ROOTS.get(_name, frozenset()) | {_root}
 
 _CAMEL = re.compile(r"(?<=[a-z]{2})(?=[A-Z])")
-_SOUNDS = (("PH", "F"), ("QU", "KW"), ("CK", "K"), ("C", "K"), ("Z", "S"), ("Y", "I"), ("W", "V"))
+#: Letters that are typed for one another.
+SOUNDS = (("PH", "F"), ("QU", "KW"), ("CK", "K"), ("C", "K"), ("Z", "S"), ("Y", "I"), ("W", "V"))
 
 
 def plain(text: str) -> str:
@@ -107,7 +109,7 @@ def plain(text: str) -> str:
 @functools.lru_cache(maxsize=200_000)
 def sounds(token: str) -> str:
     """The token with letters that are typed for one another made equal."""
-    for a, b in _SOUNDS:
+    for a, b in SOUNDS:
         token = token.replace(a, b)
     return token
 
@@ -195,55 +197,57 @@ def likeness(a: str, b: str, person: bool) -> float:
     return 0.0
 
 
+def assignment(gain: list[list[float]]) -> list[int]:
+    """The column of each row in the assignment of rows to different columns with the largest sum; no more rows than columns.
+
+    Shortest augmenting paths with potentials: the work is rows squared times columns, at any length of names.
+    """
+    rows, columns = len(gain), len(gain[0])
+    by_row, by_column, holder = [0.0] * (rows + 1), [0.0] * (columns + 1), [0] * (columns + 1)
+    for row in range(1, rows + 1):
+        holder[0], column = row, 0
+        least, way, done = [float("inf")] * (columns + 1), [0] * (columns + 1), [False] * (columns + 1)
+        while holder[column]:
+            done[column] = True
+            at, step, following = holder[column], float("inf"), 0
+            for j in range(1, columns + 1):
+                if not done[j]:
+                    cost = -gain[at - 1][j - 1] - by_row[at] - by_column[j]
+                    if cost < least[j]:
+                        least[j], way[j] = cost, column
+                    if least[j] < step:
+                        step, following = least[j], j
+            for j in range(columns + 1):
+                if done[j]:
+                    by_row[holder[j]] += step
+                    by_column[j] -= step
+                else:
+                    least[j] -= step
+            column = following
+        while column:
+            holder[column], column = holder[way[column]], way[column]
+    out = [0] * rows
+    for j in range(1, columns + 1):
+        if holder[j]:
+            out[holder[j] - 1] = j - 1
+    return out
+
+
 def align(a: tuple[str, ...], b: tuple[str, ...], person: bool) -> tuple[list[float], list[int], list[int]]:
     """The optimal assignment of tokens of a to tokens of b: (likeness of each pair, their places in a, and in b)."""
     if len(a) > len(b):
         s, ib, ia = align(b, a, person)
         return s, ia, ib
-    m = len(b)
-    if m > 10:  # long names: exact tokens first, then the best left for each
-        left, s, ia, ib = set(range(m)), [], [], []
-        for i, x in enumerate(a):
-            j = max(left, key=lambda j: likeness(x, b[j], person))
-            if likeness(x, b[j], person) > 0:
-                left.discard(j)
-                s.append(likeness(x, b[j], person)), ia.append(i), ib.append(j)
-        return s, ia, ib
-    best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
-    for i, x in enumerate(a):
-        step = dict(best)  # x may stay without a partner
-        for used, (score, pairs) in best.items():
-            for j, y in enumerate(b):
-                if not used >> j & 1 and (w := likeness(x, y, person)) > 0:
-                    k = used | 1 << j
-                    if k not in step or step[k][0] < score + w:
-                        step[k] = (score + w, (*pairs, (w, i, j)))
-        best = step
-    pairs = max(best.values(), key=lambda v: v[0])[1]
+    if not a:
+        return [], [], []
+    gain = [[likeness(x, y, person) for y in b] for x in a]
+    if all(gain[i][i] == 1.0 for i in range(len(a))):  # nothing is better than each with itself
+        return [1.0] * len(a), list(range(len(a))), list(range(len(a)))
+    pairs = [(gain[i][j], i, j) for i, j in enumerate(assignment(gain)) if gain[i][j] > 0]
     return [p[0] for p in pairs], [p[1] for p in pairs], [p[2] for p in pairs]
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Words that many names of a table share, to part words run together and to tell what names a business from what it does."""
-
-    common: frozenset[str] = field(default_factory=frozenset)
-
-    def parted(self, token: str) -> list[str]:
-        """A long unknown token as its unknown head and the common words at its end."""
-        if len(token) < 9 or token in self.common:
-            return [token]
-        whole = token
-        tail: list[str] = []
-        while len(token) >= 8 and token not in self.common:
-            for n in range(min(len(token) - 4, 15), 2 if tail else 3, -1):
-                if token[-n:] in self.common and token[-n:] not in BRANCH_WORDS and len(token) - n >= 4:
-                    tail.insert(0, token[-n:])
-                    token = token[:-n]
-                    break
-            else:
-                break
-        return [token, *tail] if tail else [whole]
+_RUN_LEGAL = re.compile(r"(?<=.{4})(?:INCORPORATED|CORPORATION|COMPANY|PARTNERSHIP)$")  # a long legal form run together with the word before
 
 
 @functools.lru_cache(maxsize=200_000)
@@ -252,8 +256,8 @@ def legal_form(token: str) -> bool:
     return token in LEGAL or len(token) >= 6 and any(len(w) >= 7 and edits(token, w, 1) <= 1 for w in LEGAL)
 
 
-def business_tokens(name: str | None, words: Vocabulary = Vocabulary()) -> tuple[str, ...]:
-    """The tokens that tell one business from another: no legal form, no branch note, words run together parted."""
+def business_tokens(name: str | None) -> tuple[str, ...]:
+    """The tokens that tell one business from another: no legal form, no branch note."""
     if not name:
         return ()
     text = re.sub(r"[^A-Z0-9&]+", " ", plain(_CAMEL.sub(" ", name))).strip()
@@ -261,64 +265,98 @@ def business_tokens(name: str | None, words: Vocabulary = Vocabulary()) -> tuple
     text = re.sub(r"\b(?:[A-Z] ){1,3}[A-Z]$", lambda m: m[0].replace(" ", ""), text)  # L L C
     for _ in range(2):
         text = BRANCH.sub("", text).strip()
-    out = [p for t in text.split() for p in words.parted(t)]
+    out = [_RUN_LEGAL.sub("", t) for t in text.split()]
     kept = tuple(t for t in out if not legal_form(t))
     return kept or tuple(out)
 
 
-def person_tokens(name: str | None) -> tuple[tuple[str, ...], str]:
-    """(the name's own tokens, its generation mark or '')."""
-    tokens = re.findall(r"[A-Z]+", plain(name or ""))
+def person_tokens(name: str | None) -> tuple[tuple[str, ...], str, int]:
+    """(the name's own tokens, its generation mark or '', how many of them stand before a comma; -1 without one)."""
+    parts = [re.findall(r"[A-Z]+", part) for part in plain(name or "").split(",", 1)]
+    tokens = [t for part in parts for t in part]
     marks = [t for t in tokens if t in GENERATIONS]
-    kept = tuple(t for t in tokens if t not in GENERATIONS and t not in TITLES)
-    return kept or tuple(tokens), marks[0] if marks else ""
+    own = lambda part: [t for t in part if t not in GENERATIONS and t not in TITLES]
+    kept = tuple(own(tokens))
+    first = len(own(parts[0]) if kept else parts[0])
+    kept = kept or tuple(tokens)
+    return kept, marks[0] if marks else "", first if len(parts) > 1 and 0 < first < len(kept) else -1
+
+
+#: The score of two names of people of which one has but initials beside the family name: they are one only if no one else fits.
+INITIALS = 0.6
+
 
+def family_name(token: str, before: float | None) -> bool:
+    """Whether a token is a family name: by the share of its names in which it stands before the comma, else no known given name."""
+    return before >= 0.5 if before is not None else len(token) > 1 and token not in ROOTS
 
-def same_person(a: tuple[str, ...], b: tuple[str, ...], a_mark: str, b_mark: str, common: frozenset[str] = frozenset()) -> float:
-    """The likeness of two people's names at one place; 0 if they can't be one person's.
 
-    Every token of the shorter name must find its partner. The longer one may have one more given name or initial, and one more
-    half of a double family name.
-    Family names must agree in full, and at least one more token with them.
+def same_person(a: tuple[str, ...], b: tuple[str, ...], a_family: tuple[bool, ...], b_family: tuple[bool, ...]) -> float:
+    """The likeness of two people's names at one place with one generation mark; 0 if they can't be one person's.
+
+    Every token of the shorter name must find its partner, a family name among them in full, and one more token. The longer
+    name may have one more given name or initial, and one more half of a double family name. The frequency of a name plays no
+    part. Names that agree in a family name and initials alone score INITIALS.
     """
-    if a_mark != b_mark or not a or not b:
+    if not a or not b:
         return 0.0
     if len(a) > len(b):
-        a, b = b, a
+        a, b, a_family, b_family = b, a, b_family, a_family
     scores, ia, ib = align(a, b, True)
     if len(scores) < len(a) or len(scores) < 2:
         return 0.0
-    left = [b[j] for j in range(len(b)) if j not in ib]
-    halves = sum(len(t) > 1 and t not in common and t not in ROOTS for t in left)  # of a double family name
+    used = set(ib)
+    left = [j for j in range(len(b)) if j not in used]
+    halves = sum(len(b[j]) > 1 and b_family[j] for j in left)  # of a double family name
     if halves > 1 or len(left) - halves > 1:
         return 0.0
-    family = any(w >= 0.8 and len(a[i]) > 3 and a[i] not in common and a[i] not in ROOTS for w, i in zip(scores, ia))
+    family = any((w >= 0.8 and len(a[i]) > 3 or w == 1.0 and len(a[i]) > 1) and (a_family[i] or b_family[j]) for w, i, j in zip(scores, ia, ib))
     if not family and not all(w == 1.0 for w in scores):
         return 0.0
     full = [w for w, i, j in zip(scores, ia, ib) if len(a[i]) > 1 and len(b[j]) > 1]
     if len(full) < 2 and len(scores) < 3:
-        return 0.0
+        # the name with the initials must have no other given name that could tell who it is
+        open_ = any(len(b[j]) == 1 for j in ib) and any(len(b[j]) > 1 for j in left)
+        return INITIALS if family and full == [1.0] and not open_ else 0.0
     return sum(scores) / len(scores) - 0.02 * len(left)
 
 
-def same_business(a: tuple[str, ...], b: tuple[str, ...], common: frozenset[str] = frozenset()) -> float:
-    """The likeness of two businesses' names at one place; 0 if they can't be one business's."""
+#: How many times as frequent one word must be than another to be told from it: a word from its misspelling, or from a head.
+RARER = 20
+#: How many times as frequent another word of a name must be than the one that names the business.
+HEAD = 5
+
+
+def same_business(a: tuple[str, ...], b: tuple[str, ...], a_counts: tuple[int, ...] | None = None, b_counts: tuple[int, ...] | None = None) -> float:
+    """The likeness of two businesses' names at one place; 0 if they can't be one business's.
+
+    a_counts and b_counts tell how many names hold each token (1 each, if not given): the rarest token of either name, which
+    names the business, must have a full partner. Counts are compared with one another only, so other names do not matter.
+    """
     if not a or not b:
         return 0.0
     if a == b:
         return 1.0
+    a_counts, b_counts = a_counts or (1,) * len(a), b_counts or (1,) * len(b)
     if len(a) != len(b):
         x, y = "".join(sorted(a)), "".join(sorted(b))
         near = edits("".join(a), "".join(b), 2) <= 2 or abs(len(x) - len(y)) <= 1 and edits(x, y, 1) <= 1
         return 0.85 if near and len(x) > 8 else 0.0
     scores, ia, ib = align(a, b, False)
+    def rarest(t: tuple[str, ...], counts: tuple[int, ...], but: int = -1) -> int:
+        return min((k for k in range(len(t)) if k != but), key=lambda k: (len(t[k]) == 1, counts[k]))
+
     if len(scores) == len(a) - 1 and len(a) > 2 and scores.count(1.0) >= 2:  # one word each that is hardly the same
-        x, y = next(a[i] for i in range(len(a)) if i not in ia), next(b[j] for j in range(len(b)) if j not in ib)
-        if x[0] == y[0] and not (x in common and y in common) and (edits(x, y, 3) <= 3 or abs(len(x) - len(y)) > 3):
-            return 0.76 if any(w == 1.0 and a[i] not in common for w, i in zip(scores, ia)) else 0.0
+        i, j = next(i for i in range(len(a)) if i not in ia), next(j for j in range(len(b)) if j not in ib)
+        low, high = sorted((a_counts[i], b_counts[j]))
+        head_a, head_b = rarest(a, a_counts, i), rarest(b, b_counts, j)
+        established = high < RARER * low and low >= RARER * min(a_counts[head_a], b_counts[head_b])  # two words, both in use
+        if a[i][0] == b[j][0] and not established and (edits(a[i], b[j], 3) <= 3 or abs(len(a[i]) - len(b[j])) > 3):
+            most = max(*a_counts, *b_counts)
+            return 0.76 if any(w == 1.0 and (p == head_a or q == head_b) and HEAD * min(a_counts[p], b_counts[q]) <= most for w, p, q in zip(scores, ia, ib)) else 0.0
     if len(scores) < len(a):
         return 0.0
-    heads = [w for w, i, j in zip(scores, ia, ib) if a[i] not in common or b[j] not in common]
-    if any(w < 0.8 for w in heads or scores):
+    rare_a, rare_b = rarest(a, a_counts), rarest(b, b_counts)
+    if any(w < 0.8 for w, i, j in zip(scores, ia, ib) if i == rare_a or j == rare_b):
         return 0.0
     return sum(scores) / len(scores)

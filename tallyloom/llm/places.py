@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.llm.neighbours import deletions
+
 # Postal short forms of the last word of a place name.
 SUFFIXES = dict(
     pair.split("=")
@@ -33,17 +35,6 @@ def zip5(code: Column) -> Column:
     return F.when(z != "", z)
 
 
-def deletions(token: Column, two: bool = False) -> Column:
-    """The token and what is left of it after one deletion, or up to two: its symmetric-delete neighbourhood."""
-
-    def drop_one(t: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.length(t))))
-
-    one = drop_one(token)
-    both = F.concat(F.array(token), one, F.flatten(F.transform(one, drop_one))) if two else F.concat(F.array(token), one)
-    return F.array_distinct(both)
-
-
 def place_names(records: DataFrame) -> DataFrame:
     """(zip, place): the city that most records of a zip name; the more frequent city overall, then the smaller name, on a tie."""
     named = records.filter("zip IS NOT NULL AND city IS NOT NULL").groupBy("zip", "city").agg(F.count(F.lit(1)).alias("n"))
@@ -63,6 +54,7 @@ def with_place(records: DataFrame, names: DataFrame) -> DataFrame:
     variants = lambda df, c: df.select(c, F.explode(deletions(F.col(c), True)).alias("v"))
     near = (
         variants(unknown, "city")
+        .hint("merge")
         .join(variants(known, "place"), "v")
         .select("city", "place", F.levenshtein("city", "place").alias("far"))
         .groupBy("city")
