@@ -10,7 +10,8 @@
     stop    <- space / delim+ (ws delim+)* (ws (start / q) / ws end)
 
 The first alternative that matches is taken; if a quoted value finds no closing quote, the parser goes back to where the
-quote stood, flags the error and reads on as a bare value.
+quote stood, flags the error and reads on as a bare value. What was found on the way is remembered, so the work grows with the
+text's length however its quotes and brackets are broken.
 """
 
 from __future__ import annotations
@@ -31,11 +32,12 @@ _START = r"(?:https?://|www\.)"
 _BARE_START = re.compile(_START, re.I)
 _SKIP = re.compile(r"[\s,;|\ufeff]+")
 _BULLET = re.compile(r"(?:[•*\-–·▪]+|\(?\d{1,4}[.)])(?=\s|https?://|www\.|[\"'])", re.I)
-_STOP = re.compile(r"\s|[,;|]+(?:\s*[,;|]+)*(?=\s*(?:" + _START + r"|[\"'\[\]]|$))", re.I)
+_STOP = re.compile(r"\s|(?<![,;|])[,;|](?>[\s,;|]*)(?=" + _START + r"|[\"'\[\]]|$)", re.I)
 _CLOSE = re.compile(r"\s*(?:$|[,;|\]>)]|" + _START + r"|[\"'])", re.I)
 _AFTER = re.compile(r"\s*(?:$|[,;|\]>)])")
 _PAIRS = {"[": "]", "(": ")", "<": ">", "{": "}", "“": "”", "‘": "’", "«": "»"}
 _JSON_ESCAPE = re.compile(r'\\(?:u([0-9a-fA-F]{4})|(.))', re.S)
+_SPECIAL = {q: re.compile(rf"[\\{q}]") for q in "\"'"}
 _SIMPLE = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
 
 
@@ -50,25 +52,49 @@ def _unescape(body: str) -> str:
     return _JSON_ESCAPE.sub(lambda m: chr(int(m[1], 16)) if m[1] else _SIMPLE.get(m[2], m[2]), body)
 
 
-def _quoted(s: str, i: int) -> tuple[str, int] | None:
-    """The value of the quoted text that opens at i and the place after it, or None if no quote closes it."""
-    q, j, n = s[i], i + 1, len(s)
-    loose = None
-    while j < n:
-        c = s[j]
-        if c == "\\" and j + 1 < n:
-            j += 2
-        elif c == q:
-            if s.startswith(q, j + 1) and not (j == i + 1 and _AFTER.match(s, j + 2)) and not _BARE_START.match(s, j + 2):
+class _Parser:
+    """What was found out about one text, so that going back does not read it again: every place is looked at once."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.closed: dict[tuple[str, int], int] = {}
+        self.brackets: dict[str, int] = {}
+
+    def quoted(self, i: int) -> tuple[str, int] | None:
+        """The value of the quoted text that opens at i and the place after it, or None if no quote closes it."""
+        s, q = self.text, self.text[i]
+        special = _SPECIAL[q]
+        j, passed, end = i + 1, [], -1
+        while m := special.search(s, j):
+            j = m.start()
+            if j > i + 1 and (q, j) in self.closed:
+                end = self.closed[q, j]
+                break
+            if s[j] == "\\":
+                passed.append(j)
                 j += 2
-                continue
-            if _CLOSE.match(s, j + 1):
-                return _unescape(s[i + 1 : j].replace(q + q, q)), j + 1
-            loose = loose or j
-            j += 1
-        else:
-            j += 1
-    return None
+            elif s.startswith(q, j + 1) and not (j == i + 1 and _AFTER.match(s, j + 2)) and not _BARE_START.match(s, j + 2):
+                passed.append(j)
+                j += 2
+            elif _CLOSE.match(s, j + 1):
+                end = j
+                break
+            else:
+                passed.append(j)
+                j += 1
+        for p in passed:
+            if p > i + 1:  # the first place alone may be read as an empty value
+                self.closed[q, p] = end
+        if end < 0:
+            return None
+        return _unescape(s[i + 1 : end].replace(q + q, q)), end + 1
+
+    def closing(self, bracket: str, i: int) -> int:
+        """The place of the next closing bracket from i on, or -1."""
+        at = self.brackets.get(bracket, 0)
+        if 0 <= at < i or bracket not in self.brackets:
+            at = self.brackets[bracket] = self.text.find(bracket, i)
+        return at
 
 
 def parse_packed(text: str | None) -> list[tuple[int, str, str, str | None]]:
@@ -81,6 +107,7 @@ def parse_packed(text: str | None) -> list[tuple[int, str, str, str | None]]:
     if text is None or text.strip().lower() in PLACEHOLDERS:
         return out
     i, n, error = 0, len(text), None
+    parser = _Parser(text)
 
     def emit(value: str, form: str) -> None:
         nonlocal error
@@ -95,7 +122,7 @@ def parse_packed(text: str | None) -> list[tuple[int, str, str, str | None]]:
             continue
         c = text[i]
         if c in "\"'":
-            if hit := _quoted(text, i):
+            if hit := parser.quoted(i):
                 emit(hit[0], "quoted")
                 i = hit[1]
                 continue
@@ -108,7 +135,7 @@ def parse_packed(text: str | None) -> list[tuple[int, str, str, str | None]]:
             i += 1
             continue
         if c in _PAIRS:
-            close = text.find(_PAIRS[c], i + 1)
+            close = parser.closing(_PAIRS[c], i + 1)
             if close > 0 and _CLOSE.match(text, close + 1) and (_BARE_START.match(text, i + 1) or c in "“‘«<"):
                 emit(text[i + 1 : close], "bracketed")
                 i = close + 1

@@ -16,7 +16,7 @@ registry = Registry()
 @registry.add("p4_found")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     items = split_packed(table(spark, d, "web_search_cache"), "search_id", "urls")
-    return items.filter("error IS NULL OR error <> 'not a value'").select("search_id", "pos", F.col("value").alias("url"))
+    return items.select("search_id", "pos", F.col("value").alias("url"))
 
 
 @registry.add("p4_forms")

@@ -1,5 +1,6 @@
 """Operators on small literal tables: nulls, ties, repeats, empty tables and clashing names."""
 
+import time
 import random
 
 import pytest
@@ -39,6 +40,17 @@ def test_packed_values_take_a_very_long_text_and_keep_positions():
     assert len(found) == 20_000 and found[-1][0] == 20_000
 
 
+def test_packed_values_after_stray_text_are_kept():
+    assert [(p, v) for p, v, _, _ in parse_packed("Source: https://a.example/x, [1] https://b.example")] == [(1, "https://a.example/x"), (2, "https://b.example")]
+
+
+@pytest.mark.parametrize("text", ['"a' * 500_000, "'\"x " * 250_000, "(" * 1_000_000, "(" * 500_000 + "x)", "http://a.test/" + "," * 1_000_000 + "x", '"' + "\\" * 1_000_000])
+def test_a_megabyte_of_broken_quotes_is_read_in_a_second(text):
+    start = time.time()
+    parse_packed(text)
+    assert time.time() - start < 2
+
+
 def test_split_packed_with_clashing_columns_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, "http://a.test http://a.test", "x", 7), (2, None, "y", 8), (None, "www.b.test", "z", 9)], "id long, urls string, value string, pos int")
     assert rows(split_packed(df.filter("id = 1"), "id", "urls").select("id", "pos", "value")) == [(1, 1, "http://a.test"), (1, 2, "http://a.test")]
