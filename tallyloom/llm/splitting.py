@@ -1,10 +1,10 @@
 """Cutting long texts into overlapping pieces at natural boundaries: balanced targets snapped to the strongest boundary near.
 
-A text of T tokens needs at least n = ceil((T - overlap) / (limit - overlap)) pieces. The n - 1 cuts are first placed so that
-all pieces are equally long; each is then moved to the strongest boundary (paragraph, line, sentence, word) within its slack,
-to the nearest of equally strong ones, as long as the pieces to come can still stay within the limit. If a cut finds no word
-end at all, one more piece is allowed; if no number of pieces helps, as in an unbroken run, it falls on a token boundary that
-parts no character.
+A text of T tokens needs at least n = ceil((T - overlap) / (limit - overlap)) pieces. The n - 1 cuts are placed so that all
+pieces are equally long; each is moved to the strongest boundary (paragraph, line, sentence, word) within its slack, to the
+nearest of equally strong ones, as long as the pieces to come can still stay within the limit, and what is left is divided
+equally again. If a cut finds no word end, one more piece is allowed; if that does not help either, as in an unbroken run, it
+falls on a joint of words or a token boundary that parts no character, and the rest of the text is balanced as before.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.tokens import SPACE, encode_batch, gather, replay, vocabulary_file, words_of
+from tallyloom.llm.tokens import SPACE, encode_batch, gather, sent_replay, ship_vocabulary, vocabulary_file, words_of
 
 PARAGRAPH, LINE, SENTENCE, WORD, JOINT = 5, 4, 3, 2, 1
 _BLANK = re.compile(f"[{SPACE}]+")
@@ -58,49 +58,40 @@ def boundary_strengths(marks: np.ndarray) -> np.ndarray:
     return strength
 
 
-def choose_cuts(total: int, at: np.ndarray, strength: np.ndarray, limit: int, overlap: int) -> list[int] | None:
-    """Token positions of the cuts of a text of total tokens, all at positions in `at`; None if a cut finds no word end."""
-    fewest = -(-(total - overlap) // (limit - overlap))
-    for n in range(fewest, 2 * fewest + 2):
-        step = (total - overlap) / n
-        slack = max(int(step / 3), 1)
-        cuts, prev = [], 0
-        for i in range(1, n):
-            target = overlap + i * step
-            low = max(prev + overlap + 1 if cuts else overlap + 1, total - (n - i) * (limit - overlap))
-            high = min((prev + limit - overlap) if cuts else limit, total - 1)
-            for near_low, near_high in ((max(low, target - slack), min(high, target + slack)), (low, high)):
-                a, b = np.searchsorted(at, near_low, "left"), np.searchsorted(at, near_high, "right")
-                if b > a and strength[a:b].max() >= WORD:
-                    break
-            else:
-                cuts = None
-                break
-            best = np.flatnonzero(strength[a:b] == strength[a:b].max()) + a
-            prev = int(at[best[np.argmin(np.abs(at[best] - target))]])
-            cuts.append(prev)
-        if cuts is not None:
-            return cuts
-    return None
-
-
-def force_cuts(total: int, at: np.ndarray, strength: np.ndarray, safe: np.ndarray, limit: int, overlap: int) -> list[int]:
-    """Cuts where some have no word end in reach: the latest word end that fits, else a joint, else a token that starts a character."""
-    cuts, prev = [], 0
-    while total - prev > (limit - overlap if cuts else limit):
-        low = prev + (overlap if cuts else 0)
-        high = prev + limit - overlap if cuts else limit
-        low = min(max(low + 1, high - (limit - overlap) // 2), high)
-        a, b = np.searchsorted(at, low, "left"), np.searchsorted(at, high, "right")
-        if b > a:
-            best = np.flatnonzero(strength[a:b] == strength[a:b].max()) + a
-            prev = int(at[best[-1]])
-        else:
-            c = high
-            while c > prev + 1 and not safe[c]:
-                c -= 1
-            prev = c if safe[c] else high
+def nearest(sorted_: np.ndarray, low: float, high: float, target: float) -> int | None:
+    """The number of sorted_ in low..high that is nearest to target, the smaller one on a tie; None if there is none."""
+    a, b = np.searchsorted(sorted_, low, "left"), np.searchsorted(sorted_, high, "right")
+    if b <= a:
+        return None
+    k = int(np.searchsorted(sorted_[a:b], target)) + a
+    if k == b or k > a and target - sorted_[k - 1] <= sorted_[k] - target:
+        k -= 1
+    return int(sorted_[k])
+
+
+def choose_cuts(total: int, at: np.ndarray, strength: np.ndarray, limit: int, overlap: int, safe: np.ndarray | None = None) -> list[int]:
+    """Token positions of the cuts of a text of `total` tokens; `at` are the word ends and joints, safe those that part no character.
+
+    What is left is always divided into equal parts, so an unbroken run or an added piece upsets only its own cuts. Each cut is
+    one search in a sorted list of boundaries of each strength, whatever the length of the text.
+    """
+    most = limit - overlap
+    levels = [at[strength >= s] for s in (PARAGRAPH, LINE, SENTENCE, WORD)]
+    cuts: list[int] = []
+    prev = overlap  # the first piece repeats nothing, so it may hold that much more
+    left = -(-(total - prev) // most)
+    while total - prev > most:
+        left = max(left, -(-(total - prev) // most))
+        step = (total - prev) / left
+        target, slack = prev + step, max(int(step / 3), 1)
+        high = min(prev + most, total - 1)
+        lowest = min(prev + overlap + 1 if cuts else overlap + 1, high)
+        keep = max(lowest, total - (left - 1) * most)  # before it, the rest needs one more piece
+        spans = ((levels, max(keep, target - slack), min(high, target + slack)), (levels, keep, high), (levels, lowest, keep - 1), ([at], keep, high), ([] if safe is None else [safe], keep, high))
+        cut = next((c for lists, low, top in spans for sorted_ in lists if (c := nearest(sorted_, low, top, target)) is not None), None)
+        prev = cut if cut is not None else min(high, max(keep, round(target)))
         cuts.append(prev)
+        left -= 1
     return cuts
 
 
@@ -115,7 +106,7 @@ def split_texts(df: DataFrame, key: str, text: str, limit: int = 512, overlap: i
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and below the limit")
-    path = path or vocabulary_file()
+    name = ship_vocabulary(df.sparkSession, path or vocabulary_file())
     schema = T.StructType(
         [
             df.schema[key],
@@ -127,7 +118,7 @@ def split_texts(df: DataFrame, key: str, text: str, limit: int = 512, overlap: i
     names = {PARAGRAPH: "paragraph", LINE: "line", SENTENCE: "sentence", WORD: "word", JOINT: "joint"}
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = replay(path)
+        model = sent_replay(name)
         for batch in batches:
             e = encode_batch(batch.column(1), model)
             sizes = (model.starts[e.code + 1] - model.starts[e.code])[e.word]
@@ -146,13 +137,11 @@ def split_texts(df: DataFrame, key: str, text: str, limit: int = 512, overlap: i
                     at = upto[a:b] - upto[a]
                     strength = boundary_strengths(marks[e.word[a:b]])
                     ids, _ = gather(model.flat, model.starts, e.code[e.word[a:b]])
-                    token_ends = np.cumsum([0, *(len(model.token_bytes[t]) for t in ids.tolist())])
+                    token_ends = np.concatenate([[0], np.cumsum(model.token_sizes[ids])])
                     raw = whole.encode("utf-8", "surrogatepass")
                     lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
                     safe = np.append(lead, True)[token_ends]
-                    cuts = choose_cuts(total, at, strength, limit, overlap)
-                    if cuts is None:
-                        cuts = force_cuts(total, at, strength, safe, limit, overlap)
+                    cuts = choose_cuts(total, at, strength, limit, overlap, np.flatnonzero(safe))
                     pieces = []
                     for i, (start, end) in enumerate(zip([0, *cuts], [*cuts, total])):
                         start = start - overlap if i else 0

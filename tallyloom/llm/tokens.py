@@ -17,7 +17,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,6 +133,11 @@ class MergeReplay:
         counts = np.concatenate([[0], np.cumsum(kept)])
         return out[kept], counts[np.concatenate([[0], ends])]
 
+    @functools.cached_property
+    def token_sizes(self) -> np.ndarray:
+        """The bytes of each token."""
+        return np.fromiter(map(len, self.token_bytes), np.int64, len(self.token_bytes))
+
     @functools.cached_property
     def heads(self) -> list[tuple[int, int]]:
         pairs = np.empty(len(self.pair_keys), np.int64)
@@ -162,6 +168,23 @@ def replay(path: str) -> MergeReplay:
     return MergeReplay(byte_ids, keys[order], np.fromiter(ranks.values(), np.int64, len(ranks))[order], merged, token_bytes, ranks)
 
 
+def ship_vocabulary(spark: SparkSession, path: str) -> str:
+    """Sends the tokenizer file to the executors, once a context, and returns the name they know it by."""
+    name = os.path.basename(path)
+    if (id(spark.sparkContext), path) not in _SENT:
+        spark.sparkContext.addFile(path)
+        _SENT.add((id(spark.sparkContext), path))
+    return name
+
+
+_SENT: set[tuple[int, str]] = set()
+
+
+def sent_replay(name: str) -> MergeReplay:
+    """The vocabulary of a file that was sent, in a worker process."""
+    return replay(SparkFiles.get(name))
+
+
 def gather(flat: np.ndarray, starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The stretches flat[starts[c]:starts[c + 1]] of all codes c one after another, and the end of each."""
     sizes = starts[codes + 1] - starts[codes]
@@ -198,11 +221,11 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str | None = None) -
     ids is [] for an empty text and for a null one. Each row of df gives one row, repeated keys and null keys as well; other
     columns are not read. Rows are encoded where they lie, without a shuffle; a text may be of any length.
     """
-    path = path or vocabulary_file()
+    name = ship_vocabulary(df.sparkSession, path or vocabulary_file())
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = replay(path)
+        model = sent_replay(name)
         kind = pa.list_(pa.field("element", pa.int32(), False))
         for batch in batches:
             e = encode_batch(batch.column(1), model)
@@ -216,11 +239,11 @@ def encode_corpus(df: DataFrame, key: str, text: str, path: str | None = None) -
 
 def count_tokens(df: DataFrame, key: str, text: str, path: str | None = None) -> DataFrame:
     """(key, n_tokens): the number of tokens of each text, 0 for an empty or null one; the same replay without its ids."""
-    path = path or vocabulary_file()
+    name = ship_vocabulary(df.sparkSession, path or vocabulary_file())
     schema = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("n_tokens", T.LongType(), False)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = replay(path)
+        model = sent_replay(name)
         for batch in batches:
             e = encode_batch(batch.column(1), model)
             sizes = model.starts[e.code + 1] - model.starts[e.code]

@@ -139,6 +139,21 @@ def test_cuts_prefer_the_strongest_boundary_near():
     assert splitting.choose_cuts(len(words), at, strength, 40, 0) == [33]
 
 
+def test_an_unbroken_run_is_cut_by_itself_and_fast():
+    import time
+
+    n = 1_000_000
+    at = np.concatenate([np.arange(0, 300_000, 2), np.arange(700_000, n, 2)])  # words but for the middle
+    strength = np.where(at % 40 == 0, splitting.SENTENCE, splitting.WORD).astype(np.int8)
+    start = time.time()
+    cuts = splitting.choose_cuts(n, at, strength, 512, 32, np.arange(n + 1))
+    assert time.time() - start < 5
+    sizes = np.diff([0, *cuts, n]) + np.array([0, *[32] * len(cuts)])
+    assert sizes.max() <= 512 and (sizes < 256).sum() <= 2
+    outside = [c for c in cuts if c < 299_500 or c > 700_500]
+    assert all(c % 40 == 0 for c in outside) and len(cuts) <= 1.1 * n / 480
+
+
 def test_places_are_repaired(spark):
     rows = [(1, "Elk Ferry", "90001-1234"), (2, "ELK FERY", "90001"), (3, "elk ferry, CA", "90001"), (4, "ELK FERYR", None), (5, None, "90001"), (6, "Poppy Lndg", None), (7, "POPPY LANDING", "90005"), (8, None, None)]
     df = spark.createDataFrame(rows, "id long, c string, z string").select("id", places.clean_city(F.col("c")).alias("city"), places.zip5(F.col("z")).alias("zip"))
