@@ -15,7 +15,7 @@ from tallyloom.llm.names import SOUNDS
 #: Words from this length on are indexed with two deletions, shorter ones with one, and those below four letters as they are.
 LONG_TOKEN = 7
 #: Two deletions are made in so many first letters: words within two slips agree there after exactly two deletions.
-PREFIX = 9
+PREFIX = 8
 
 
 def deletions(token: Column, two: bool = False) -> Column:
@@ -60,12 +60,28 @@ def neighbours(words: DataFrame, block: list[str], others: DataFrame | None = No
     Near are words within two edits or swaps, and words that sound alike. With `others`, the first word is of words and the
     second of others; else both are of words, and each pair comes both ways. Inputs hold each word of a block once. Null words
     and blocks are near to none.
-    """
 
-    def indexed(df: DataFrame, name: str) -> DataFrame:
-        keys = df.select(*block, "token", F.explode(neighbourhood(F.col("token"))).alias("v"))
-        return keys.select(*block, F.col("token").alias(name), F.xxhash64(*block, "v").alias("v"))
+    The index is sorted by one number, the hash of block and key, and its rows hold one more, that of block and word; both are
+    looked up again and checked as texts, so equal hashes of different words do no harm.
+    """
 
-    met = indexed(words, "token").hint("merge").join(indexed(words if others is None else others, "other"), [*block, "v"])
-    close = F.levenshtein("token", "other", 3) >= 0  # a swap counts two edits here; the names are compared in full later
-    return met.filter((F.col("token") != F.col("other")) & (close | (sounding(F.col("token")) == sounding(F.col("other"))))).select(*block, "token", "other").distinct()
+    def indexed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = df.select(*block, "token", F.xxhash64(*block, "token").alias("w"))
+        keys = rows.select("w", *block, F.explode(neighbourhood(F.col("token"))).alias("__k"))
+        return rows, keys.select("w", F.xxhash64(*block, "__k").alias("v"))
+
+    rows, index = indexed(words)
+    other_rows, other_index = (rows, index) if others is None else indexed(others)
+    met = index.alias("x").hint("merge").join(other_index.alias("y"), F.col("x.v") == F.col("y.v"))
+    met = met.filter(F.col("x.w") < F.col("y.w") if others is None else F.col("x.w") != F.col("y.w"))
+    met = met.select(F.col("x.w").alias("w"), F.col("y.w").alias("u")).distinct()
+    far = other_rows.select(F.col("w").alias("u"), *[F.col(c).alias(f"other_{c}") for c in block], F.col("token").alias("other"))
+    both = met.hint("merge").join(rows, "w").hint("merge").join(far, "u")
+    for c in block:
+        both = both.filter(F.col(c) == F.col(f"other_{c}"))
+    close = F.levenshtein("token", "other", 4) >= 0  # a swap counts two edits here; names are compared in full later
+    near = both.filter((F.col("token") != F.col("other")) & (close | (sounding(F.col("token")) == sounding(F.col("other"))))).select(*block, "token", "other")
+    if others is not None:
+        return near
+    both_ways = F.array(F.struct("token", "other"), F.struct(F.col("other").alias("token"), F.col("token").alias("other")))
+    return near.select(*block, F.explode(both_ways).alias("p")).select(*block, "p.token", "p.other")
