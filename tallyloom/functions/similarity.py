@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,7 +51,11 @@ def jaro_winkler_text(a: str, b: str, p: float = 0.1) -> float:
 
 
 def _jaro(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler_text(x, y) for x, y in zip(a, b)], dtype="float64")
+    known: dict[tuple, float | None] = {}  # equal pairs of a batch are compared once
+    for pair in zip(a, b):
+        if pair not in known:
+            known[pair] = None if pair[0] is None or pair[1] is None else jaro_winkler_text(*pair)
+    return pd.Series([known[pair] for pair in zip(a, b)], dtype="float64")
 
 
 def jaro_winkler(a: Column, b: Column) -> Column:
@@ -80,6 +86,69 @@ def phonetic_key(c: Column) -> Column:
     return F.pandas_udf(_phonetics, StringType())(c)
 
 
+_VOWELS = frozenset("AEIOU")
+_SILENT_START = ("KN", "GN", "PN", "AE", "WR")
+_PLAIN = {"F": "F", "J": "J", "L": "L", "M": "M", "N": "N", "Q": "K", "R": "R", "V": "F", "X": "KS", "Z": "S"}
+
+
+def metaphone_text(word: str | None) -> str | None:
+    """The Metaphone key of a word by Philips' rules of 1990; letters other than A to Z are left out, null stays null."""
+    if word is None:
+        return None
+    w = re.sub(r"([ABD-Z])\1+", r"\1", re.sub(r"[^A-Z]", "", word.upper()))  # doubled letters count once, but for C
+    if w[:2] in _SILENT_START:
+        w = w[1:]
+    elif w[:1] == "X":
+        w = "S" + w[1:]
+    elif w[:2] == "WH":
+        w = "W" + w[2:]
+    out = []
+    for i, c in enumerate(w):
+        before, after = w[i - 1] if i else "", w[i + 1 : i + 2]
+        soft = after in ("E", "I", "Y") and after != ""
+        if c in _VOWELS:
+            key = c if i == 0 else ""
+        elif c == "B":
+            key = "" if before == "M" and i == len(w) - 1 else "B"
+        elif c == "C":
+            if soft:
+                key = "" if before == "S" else "X" if w[i + 1 : i + 3] == "IA" else "S"
+            else:
+                key = "X" if after == "H" and before != "S" else "K"
+        elif c == "D":
+            key = "J" if after == "G" and w[i + 2 : i + 3] in tuple("EIY") else "T"
+        elif c == "G":
+            if after == "H" and w[i + 2 : i + 3] not in _VOWELS or after == "N" and w[i + 2 :] in ("", "ED") or before == "D" and soft:
+                key = ""
+            else:
+                key = "J" if soft and before != "G" else "K"
+        elif c == "H":
+            key = "H" if after in _VOWELS and before not in tuple("CGPST") else ""
+        elif c == "K":
+            key = "" if before == "C" else "K"
+        elif c == "P":
+            key = "F" if after == "H" else "P"
+        elif c == "S":
+            key = "X" if after == "H" or w[i + 1 : i + 3] in ("IO", "IA") else "S"
+        elif c == "T":
+            key = "X" if w[i + 1 : i + 3] in ("IO", "IA") else "0" if after == "H" else "" if w[i + 1 : i + 3] == "CH" else "T"
+        elif c in "WY":
+            key = c if after in _VOWELS else ""
+        else:
+            key = _PLAIN[c]
+        out.append(key)
+    return "".join(out)
+
+
+def _metaphones(s: pd.Series) -> pd.Series:
+    return s.map(metaphone_text)
+
+
+def metaphone(c: Column) -> Column:
+    """The Metaphone key of a word; null for null. Meant for different words, which are few beside rows."""
+    return F.pandas_udf(_metaphones, StringType())(c)
+
+
 def substring_either(a: Column, b: Column) -> Column:
     """Whether one of two non-empty texts holds the other."""
     return F.coalesce((a != "") & (b != "") & (a.contains(b) | b.contains(a)), F.lit(False))

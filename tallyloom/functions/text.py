@@ -172,7 +172,7 @@ def is_junk_employer(employer: Column, name: Column) -> Column:
 
 def embed_text(occupation: Column, employer: Column, name: Column) -> Column:
     """The text a donor is encoded by: 'occupation at employer', whichever there is, else the name."""
-    o, e = F.nullif(F.trim(F.lower(occupation)), F.lit("")), F.nullif(F.trim(F.lower(employer)), F.lit(""))
+    o, e = F.nullif(R.strip(F.lower(occupation)), F.lit("")), F.nullif(R.strip(F.lower(employer)), F.lit(""))
     return F.when(o.isNotNull() & e.isNotNull(), F.concat(o, F.lit(" at "), e)).otherwise(F.coalesce(o, e, F.lower(name)))
 
 

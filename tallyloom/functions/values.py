@@ -47,6 +47,17 @@ def threshold_label(n: int) -> str:
     return f"{n // 1_000_000}m" if n % 1_000_000 == 0 and n else f"{n // 1000}k" if n % 1000 == 0 and n else str(n)
 
 
+def threshold_text(c: Column) -> Column:
+    """threshold_label of a column of whole numbers."""
+    return F.when((c % 1_000_000 == 0) & (c != 0), F.concat((c / 1_000_000).cast("bigint").cast("string"), F.lit("m"))).when((c % 1000 == 0) & (c != 0), F.concat((c / 1000).cast("bigint").cast("string"), F.lit("k"))).otherwise(c.cast("string"))
+
+
+def name_uuid(c: Column) -> Column:
+    """A UUID of version 8 (free form) that a text always gets again, from its SHA-256; null for null."""
+    h = F.sha2(c, 256)
+    return F.when(c.isNotNull(), F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("8"), F.substring(h, 14, 3)), F.concat(F.lit("a"), F.substring(h, 18, 3)), F.substring(h, 21, 12)))
+
+
 def log_bin(c: Column, per_decade: int = 4) -> Column:
     """The number of the logarithmic bin of a positive amount; null otherwise."""
     return F.when(c > 0, F.floor(F.log10(c) * per_decade))

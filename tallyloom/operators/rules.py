@@ -31,19 +31,22 @@ def longest_keyword(text: Column, keywords: list[tuple[str, str]]) -> Column:
     return first_match(text, [(whole_word(k), v) for k, v in ordered])
 
 
-def keywords_by_join(df: DataFrame, key: str, text: str, keywords: DataFrame, most_words: int = 3) -> DataFrame:
+def keywords_by_join(df: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
     """(key, keyword, value): the longest keyword (keyword, value) in each text, for lists too long for one expression.
 
-    Texts are cut to their word sequences of up to most_words words and joined by equality. Ties go to the smaller keyword.
+    Texts are cut to their word sequences of up to as many words as the longest keyword has, and joined by equality. Ties go to
+    the smaller keyword; null texts and keywords give none.
     """
+    keywords = keywords.filter("keyword IS NOT NULL").withColumn("keyword", F.array_join(F.filter(F.split(F.lower("keyword"), r"[^\p{L}\p{N}]+"), lambda w: w != ""), " "))
+    most_words = keywords.agg(F.max(F.size(F.split("keyword", " ")))).first()[0] or 1
     words = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     def of_length(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1)))
         return F.transform(starts, lambda i: F.array_join(F.slice("w", i, n), " "))
 
     spans = df.select(F.col(key), words.alias("w")).select(key, F.explode(F.array_distinct(F.flatten(F.array(*[of_length(n) for n in range(1, most_words + 1)])))).alias("keyword"))
-    hits = spans.join(keywords.withColumn("keyword", F.lower("keyword")), "keyword")
-    return hits.groupBy(key).agg(F.max_by(F.struct("keyword", "value"), F.struct(F.length("keyword"), -F.ascii("keyword"))).alias("b")).select(key, "b.keyword", "b.value")
+    hits = spans.join(keywords, "keyword")
+    return hits.groupBy(key).agg(F.min_by(F.struct("keyword", "value"), F.struct(-F.length("keyword"), "keyword", "value")).alias("b")).select(key, "b.keyword", "b.value")
 
 
 def waterfall(*stages: Column) -> Column:

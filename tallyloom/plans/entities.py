@@ -309,14 +309,6 @@ def gr_split_contribution(spark: SparkSession, d: str) -> DataFrame:
     return graph.split_by_shares(rows, parts, "key", "node", "amount").select("key", "label", F.round("amount", 3).alias("amount"))
 
 
-@add("gr_breakdown_assembly", "SELECT 'direct' AS kind, count(*) AS n FROM contributions WHERE contributor_id IS NULL UNION ALL SELECT 'split', count(*) FROM contributions WHERE contributor_id IS NOT NULL")
-def gr_breakdown_assembly(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "contributions").select("row_id", "contributor_id")
-    split = c.filter("contributor_id IS NOT NULL")
-    direct = c.join(split.select("row_id"), "row_id", "left_anti")
-    return direct.select(F.lit("direct").alias("kind")).unionByName(split.select(F.lit("split").alias("kind"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-
-
 @add("gr_seed_coverage", f"WITH e AS ({_EDGES}) SELECT parent AS seed, round(sum(CASE WHEN s.s_acctbal > 0 THEN amount ELSE 0 END) / sum(amount), 6) AS coverage FROM e JOIN supplier s ON s.s_suppkey = e.child GROUP BY 1")
 def gr_seed_coverage(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("child"), "s_acctbal")

@@ -92,14 +92,6 @@ def join_name_multi(spark: SparkSession, d: str) -> DataFrame:
     return ids.join(used, "standardized_name", "left_semi").groupBy("standardized_name").agg(F.count_distinct("name_id").alias("n_ids"), F.count(F.lit(1)).alias("n_rows")).filter("n_ids > 1")
 
 
-@add(
-    "join_self_pairs_exact",
-    "SELECT a.standardized_name, a.name_id AS id_a, b.name_id AS id_b FROM contributors a JOIN contributors b ON a.standardized_name = b.standardized_name AND a.contributor_city = b.contributor_city AND a.name_id < b.name_id",
-)
-def join_self_pairs_exact(spark: SparkSession, d: str) -> DataFrame:
-    return J.pairs_within(table(spark, d, "contributors").select("standardized_name", "contributor_city", "name_id"), ["standardized_name", "contributor_city"], "name_id").select("standardized_name", "id_a", "id_b")
-
-
 @add(
     "join_blocked",
     """SELECT DISTINCT a.employer_id AS id_a, b.employer_id AS id_b FROM employers a JOIN employers b ON a.employer_id < b.employer_id
@@ -224,16 +216,6 @@ def join_keyed_correction(spark: SparkSession, d: str) -> DataFrame:
     return l.join(fine, "f", "left").join(broad, "b", "left").select("edd_id", F.coalesce("v", "w").alias("category"))
 
 
-@add(
-    "join_as_of",
-    """SELECT c.name_id, (SELECT max_by(w.search_id, (w.searched_at, w.search_id)) FROM web_search_cache w WHERE w.contributor_state = c.contributor_state AND w.searched_at <= c.added_at) AS search_id FROM contributors c WHERE c.contributor_state <> 'CA'""",
-)
-def join_as_of(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "contributors").filter("contributor_state <> 'CA'").select("name_id", "contributor_state", F.col("added_at").alias("t"))
-    w = table(spark, d, "web_search_cache").groupBy("contributor_state", F.col("searched_at").alias("t")).agg(F.max("search_id").alias("search_id"))
-    return J.as_of(c, w, ["contributor_state"], "t", "search_id").select("name_id", "search_id")
-
-
 @add("join_range", "SELECT a.event_id AS id_a, b.event_id AS id_b FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id AND abs(a.value - b.value) <= 0.5")
 def join_range(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")

@@ -19,18 +19,6 @@ _TFIDF = """WITH w AS (SELECT ref_id AS key, lower(unnest(string_split(name_norm
   x AS (SELECT key, term, tf * (ln((1 + (SELECT count(*) FROM running_list)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term))"""
 
 
-@add("ml_tfidf_word", _TFIDF + " SELECT key, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY key)), 6) AS weight FROM x")
-def ml_tfidf_word(spark: SparkSession, d: str) -> DataFrame:
-    return L.tfidf(table(spark, d, "running_list"), "ref_id", "name_norm").select("key", "term", F.round("weight", 6).alias("weight"))
-
-
-@add("ml_tfidf_char", "SELECT ref_id, count(DISTINCT substr(' ' || w || ' ', i, 3)) AS n_grams FROM (SELECT ref_id, unnest(string_split(name_norm, ' ')) AS w FROM running_list), LATERAL (SELECT unnest(range(1, length(w) + 1)) AS i) GROUP BY 1")
-def ml_tfidf_char(spark: SparkSession, d: str) -> DataFrame:
-    w = table(spark, d, "running_list").select("ref_id", F.explode(F.split("name_norm", " ")).alias("w"))
-    grams = w.select("ref_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.substring(F.concat(F.lit(" "), "w", F.lit(" ")), i, F.lit(3)))).alias("g"))
-    return grams.groupBy("ref_id").agg(F.count_distinct("g").alias("n_grams"))
-
-
 @add("ml_knn_vote")
 def ml_knn_vote(spark: SparkSession, d: str) -> DataFrame:
     known = table(spark, d, "running_list").filter("level1_category IS NOT NULL")
@@ -71,15 +59,6 @@ def m_softmax_conf(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("k").agg(F.round(F.max("e") / F.sum("e"), 6).alias("conf"))
 
 
-@add("ml_train_lr")
-def ml_train_lr(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").select("employer_id", F.lower("employer_norm").alias("text"), "level1_category")
-    held = L.held_out(F.col("employer_id"))
-    model = L.train_classifier(e.filter(~held), "text", "level1_category")
-    scored = L.predict(model, e.filter(held), "employer_id", "text").join(e.select("employer_id", "level1_category"), "employer_id").filter("level1_category IS NOT NULL")
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("label") == F.col("level1_category")).cast("double")), 4).alias("top1"), F.round(F.avg(F.array_contains("top", F.col("level1_category")).cast("double")), 4).alias("top3"))
-
-
 @add("ml_predict")
 def ml_predict(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "running_list").select(F.lower("name_norm").alias("text"), "level1_category")
@@ -100,18 +79,6 @@ def ml_inference_units(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "contributions").select(F.when(o == "", F.col("contributor_name")).otherwise(F.concat(F.coalesce("contributor_employer", F.lit("")), F.lit("|"), o)).alias("unit")).distinct()
 
 
-@add("ml_eval_ood", "SELECT data_source_1, count(*) AS n FROM employers WHERE employer_norm NOT IN (SELECT name_norm FROM running_list) GROUP BY 1")
-def ml_eval_ood(spark: SparkSession, d: str) -> DataFrame:
-    seen = table(spark, d, "running_list").select(F.col("name_norm").alias("employer_norm"))
-    return not_in(table(spark, d, "employers").select("employer_norm", "data_source_1"), seen, ["employer_norm"]).groupBy("data_source_1").agg(F.count(F.lit(1)).alias("n"))
-
-
-@add("ml_topk", "SELECT r.list_source, count(*) AS n, count(CASE WHEN e.level2_category IN (r.level2_category, r.level1_category) THEN 1 END) AS hits FROM employers e JOIN running_list r ON e.employer_norm = r.name_norm GROUP BY 1")
-def ml_topk(spark: SparkSession, d: str) -> DataFrame:
-    j = table(spark, d, "employers").select(F.col("employer_norm").alias("k"), F.col("level2_category").alias("p")).join(table(spark, d, "running_list").select(F.col("name_norm").alias("k"), F.array("level2_category", "level1_category").alias("t"), "list_source"), "k")
-    return j.groupBy("list_source").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.array_contains("t", F.col("p")), 1)).alias("hits"))
-
-
 _KEY = "CASE WHEN lower(strip(coalesce(contributor_occupation, ''))) IN ('', 'not employed', 'retired') THEN concat_ws('|', upper(contributor_name), upper(coalesce(contributor_city, '')), coalesce(contributor_state, '')) ELSE concat_ws('|', upper(contributor_name), upper(coalesce(contributor_employer, ''))) END"
 
 
@@ -148,16 +115,6 @@ def llm_cache_upsert(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "web_search_cache").groupBy("search_key").agg(F.max_by("search_id", F.struct("searched_at", "search_id")).alias("search_id"))
 
 
-@add("llm_retry_pass", "SELECT search_id FROM web_search_cache WHERE coalesce(industry_summary, '') IN ('', 'Did not find')")
-def llm_retry_pass(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "web_search_cache").filter(F.coalesce("industry_summary", F.lit("")).isin("", "Did not find")).select("search_id")
-
-
-@add("llm_batching", "SELECT batch, count(*) AS n FROM (SELECT CAST(floor(search_id / 50) AS BIGINT) AS batch FROM web_search_cache) GROUP BY 1")
-def llm_batching(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "web_search_cache").groupBy(F.floor(F.col("search_id") / 50).alias("batch")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @add("llm_code_validate", "SELECT e.employer_id, CASE WHEN a.k IS NOT NULL THEN e.naics_code WHEN b.k IS NOT NULL THEN left(e.naics_code, 2) ELSE '00' END AS code FROM employers e LEFT JOIN (SELECT DISTINCT naics_code AS k FROM running_list WHERE naics_code IS NOT NULL) a ON a.k = e.naics_code LEFT JOIN (SELECT DISTINCT left(naics_code, 2) AS k FROM running_list WHERE naics_code IS NOT NULL) b ON b.k = left(e.naics_code, 2)")
 def llm_code_validate(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "running_list").filter("naics_code IS NOT NULL")

@@ -35,11 +35,6 @@ def src_tsv_chunked(spark: SparkSession, d: str) -> DataFrame:
     return wide.select("filer_id", "filer_status")  # only these columns are parsed
 
 
-@add("src_web_multi", "SELECT search_id, regexp_replace(lower(regexp_extract(urls, '(?i)^https?://([^/?#]+)', 1)), '^www\\.', '') AS host FROM web_search_cache WHERE regexp_matches(urls, '(?i)^https?://[a-z0-9.-]+/')")
-def src_web_multi(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "web_search_cache").filter(F.col("urls").rlike("(?i)^https?://[a-z0-9.-]+/")).select("search_id", text.url_domain(F.col("urls")).alias("host"))
-
-
 @add("sink_index_append", "SELECT name_norm AS name FROM running_list UNION SELECT employer_norm FROM employers")
 def sink_index_append(spark: SparkSession, d: str) -> DataFrame:
     path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
@@ -48,19 +43,6 @@ def sink_index_append(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@add("sink_backup", "SELECT occ_id FROM occupation_list")
-def sink_backup(spark: SparkSession, d: str) -> DataFrame:
-    base = f"{shared_dir(spark)}/backup-{uuid.uuid4().hex}"
-    table(spark, d, "occupation_list").select("occ_id").write.parquet(files.versioned(base, "1"))
-    table(spark, d, "occupation_list").limit(0).select("occ_id").write.parquet(files.versioned(base, "2"))
-    return spark.read.parquet(files.versioned(base, "1"))
-
-
-@add("sink_figures", "SELECT CAST(floor(log10(amount) * 4) AS BIGINT) AS bin, count(*) AS n FROM contributions WHERE amount > 0 GROUP BY 1")
-def sink_figures(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "contributions").filter("amount > 0").groupBy(values.log_bin(F.col("amount")).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-
-
 @add("cfg_vs_contract", "SELECT filer_id, naml FROM filers")
 def cfg_vs_contract(spark: SparkSession, d: str) -> DataFrame:
     return files.require_columns(table(spark, d, "filers"), ["filer_id", "naml"]).select("filer_id", "naml")
@@ -69,36 +51,17 @@ def cfg_vs_contract(spark: SparkSession, d: str) -> DataFrame:
 _FUZZY = "WITH e AS (SELECT DISTINCT employer_norm AS a, left(employer_norm, 4) AS h FROM employers), p AS (SELECT a, ref_id, jaro_winkler_similarity(a, name_norm) AS s FROM e JOIN running_list r ON left(r.name_norm, 4) = e.h) SELECT a AS employer_norm, arg_max(ref_id, (round(s, 9), -ref_id)) AS ref_id FROM p WHERE s >= 0.95 GROUP BY 1"
 
 
-@add("join_fuzzy_threshold", _FUZZY)
-def join_fuzzy_threshold(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").select(F.col("employer_norm"), F.substring("employer_norm", 1, 4).alias("h")).distinct()
-    r = table(spark, d, "running_list").select("ref_id", "name_norm", F.substring("name_norm", 1, 4).alias("h"))
-    scored = e.join(r, "h").withColumn("s", F.round(similarity.jaro_winkler(F.col("employer_norm"), F.col("name_norm")), 9)).filter("s >= 0.95")
-    return scored.groupBy("employer_norm").agg(F.max_by("ref_id", F.struct("s", -F.col("ref_id"))).alias("ref_id"))
-
-
-@add("join_self_pairs_all", "SELECT a.filer_id AS id_a, b.filer_id AS id_b FROM filers a JOIN filers b ON a.filer_id < b.filer_id AND a.filer_type = b.filer_type AND split_part(upper(a.naml), ' ', 1) = split_part(upper(b.naml), ' ', 1)")
-def join_self_pairs_all(spark: SparkSession, d: str) -> DataFrame:
-    f = table(spark, d, "filers").select("filer_id", "filer_type", F.split_part(F.upper("naml"), F.lit(" "), F.lit(1)).alias("head"))
-    return E.pairs_within(f, ["filer_type", "head"], "filer_id").select("id_a", "id_b")
-
-
 _on("ord_status_queue", "filers", "SELECT filer_id FROM filers ORDER BY filer_status = 'ACTIVE' DESC, naml, filer_id", lambda f: f.orderBy(F.desc(F.col("filer_status") == "ACTIVE"), F.asc_nulls_last("naml"), "filer_id").select("filer_id"))
 _PRIO = "CASE list_source WHEN 'manual' THEN 3 WHEN 'opensecrets' THEN 2 ELSE 1 END"
 _on("ord_priority_stable", "running_list", f"SELECT level1_category, ref_id FROM (SELECT level1_category, ref_id, row_number() OVER (PARTITION BY level1_category ORDER BY {_PRIO} DESC, ref_id) AS r FROM running_list) WHERE r <= 3", lambda r: first_rows(r.select("level1_category", "ref_id", "list_source"), ["level1_category"], F.desc(F.when(F.col("list_source") == "manual", 3).when(F.col("list_source") == "opensecrets", 2).otherwise(1)), F.col("ref_id"), n=3).select("level1_category", "ref_id"))
 _on("lim_max_rows", "contributors", "SELECT name_id FROM contributors ORDER BY name_id LIMIT 25", lambda c: c.orderBy("name_id").limit(25).select("name_id"))
 _IDLE = "('NOT EMPLOYED', 'NONE', 'N A', 'RETIRED', 'UNEMPLOYED')"
 _on("s_normalize_employer_key", "contributors", f"SELECT name_id, CASE WHEN norm(contributor_employer) IN {_IDLE} THEN '' ELSE norm(contributor_employer) END AS value FROM contributors", lambda c: c.select("name_id", F.when(text.normalize_name(F.col("contributor_employer")).isin("NOT EMPLOYED", "NONE", "N A", "RETIRED", "UNEMPLOYED"), "").otherwise(text.normalize_name(F.col("contributor_employer"))).alias("value")))
-_on("s_metaphone", "contributors", None, lambda c: c.filter("entity_kind = 'individual'").groupBy(similarity.phonetic_key(F.split_part("contributor_name", F.lit(","), F.lit(1))).alias("sound")).agg(F.count(F.lit(1)).alias("n")))
 _on("m_ratio_guard", "contributions", "SELECT office, round(count(contributor_id) / greatest(count(contributor_employer), 1), 6) AS ratio FROM contributions GROUP BY 1", lambda c: c.groupBy("office").agg(F.round(values.ratio(F.count("contributor_id"), F.count("contributor_employer")), 6).alias("ratio")))
 _on("m_conf_cut", "embeddings", "SELECT vec_id, CASE WHEN label / 10.0 >= 0.75 THEN 0.75::DOUBLE WHEN label / 10.0 >= 0.5 THEN 0.5 WHEN label / 10.0 >= 0.25 THEN 0.25 WHEN label / 10.0 >= 0 THEN 0.0 END AS bin FROM embeddings", lambda e: e.select("vec_id", values.confidence_bin(F.col("label") / 10.0).alias("bin")))
-_on("m_threshold_label", "region", "SELECT r_regionkey, '10k' AS label FROM region", lambda r: r.select("r_regionkey", F.lit(values.threshold_label(10_000)).alias("label")))
-_on("h_row_xxhash", "contributions", "SELECT count(*) AS n FROM (SELECT DISTINCT start_date, amount, contributor_name FROM contributions)", lambda c: c.select(F.xxhash64("start_date", "amount", "contributor_name").alias("h")).distinct().agg(F.count(F.lit(1)).alias("n")))
 _on("h_names_sha256", "running_list", "SELECT sha256(string_agg(name_norm, chr(10) ORDER BY name_norm)) AS cache_key FROM running_list", lambda r: r.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("name_norm")), "\n"), 256).alias("cache_key")))
-_on("h_uuid", "employers", "SELECT employer_norm, substr(sha256(employer_norm), 1, 32) AS entity FROM employers GROUP BY 1", lambda e: e.select("employer_norm").distinct().withColumn("entity", F.substring(F.sha2("employer_norm", 256), 1, 32)))
 _on("a_list_result", "contributors", "SELECT name_id, contributor_city AS city, contributor_state AS state FROM contributors", lambda c: c.select("name_id", F.struct(F.col("contributor_city").alias("city"), F.col("contributor_state").alias("state")).alias("r")).select("name_id", "r.*"))
 _on("j_state", "events", "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.missing') AS BIGINT), 0) AS value FROM events", lambda e: e.select("event_id", F.coalesce(values.json_field(F.col("props"), "missing").cast("bigint"), F.lit(0).cast("bigint")).alias("value")))
-_on("j_cache", "web_search_cache", "SELECT search_id, confidence FROM web_search_cache", lambda w: w.select("search_id", F.from_json(F.to_json(F.struct("confidence")), "confidence string").alias("j")).select("search_id", "j.confidence"))
 _on("j_paged_rows", "filers", "SELECT filer_id FROM filers", lambda f: files.json_pages(f.select(F.to_json(F.struct(F.array(F.lit("filer_id")).alias("columns"), F.array(F.array("filer_id")).alias("rows"))).alias("page"))).select(F.col("fields")["filer_id"].alias("filer_id")))
 
 
@@ -120,11 +83,6 @@ def er_link_tier(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "standardized_name").filter("a_name_id < b_name_id").select(F.col("a_name_id").alias("id_a"), F.col("b_name_id").alias("id_b"), tier.alias("tier"))
 
 
-@add("er_review_queue_org", "SELECT standardized_name, count(DISTINCT contributor_name) AS n_names FROM contributors WHERE entity_kind = 'organization' GROUP BY 1 HAVING count(DISTINCT contributor_name) > 1")
-def er_review_queue_org(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "contributors").filter("entity_kind = 'organization'").groupBy("standardized_name").agg(F.count_distinct("contributor_name").alias("n_names")).filter("n_names > 1")
-
-
 def _case(column: str, rules) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches({column}, '{p}') THEN '{v}'" for p, v in rules) + " END"
 
@@ -175,28 +133,9 @@ def ml_classify_cascade(spark: SparkSession, d: str) -> DataFrame:
 _on("ml_special_case", "contributors", "SELECT name_id, CASE WHEN upper(strip(coalesce(contributor_occupation, ''))) IN ('RETIRED', 'NOT EMPLOYED', 'HOMEMAKER', 'STUDENT') THEN 1.0::DOUBLE END AS confidence FROM contributors", lambda c: c.select("name_id", F.when(F.upper(strip(F.coalesce("contributor_occupation", F.lit("")))).isin("RETIRED", "NOT EMPLOYED", "HOMEMAKER", "STUDENT"), 1.0).alias("confidence")))
 
 
-@add("ml_encode")
-def ml_encode(spark: SparkSession, d: str) -> DataFrame:
-    return L.tfidf(table(spark, d, "occupation_list"), "occ_id", "occupation", least=1, most=1.0).groupBy("key").agg(F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6).alias("length"))
-
-
-@add("ml_augment", "SELECT lower(occupation) AS text, naics_code AS label FROM occupation_list UNION SELECT lower(name_norm), naics_code FROM running_list WHERE naics_code IS NOT NULL")
-def ml_augment(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "occupation_list").select(F.lower("occupation").alias("text"), F.col("naics_code").alias("label"))
-    return o.unionByName(table(spark, d, "running_list").filter("naics_code IS NOT NULL").select(F.lower("name_norm").alias("text"), F.col("naics_code").alias("label"))).distinct()
-
-
 _STACK = f"SELECT e.employer_id, coalesce({_case('e.employer', _WORDS)}, r.level1_category) AS stack, e.level1_category AS truth FROM employers e LEFT JOIN running_list r ON r.name_norm = e.employer_norm WHERE e.level1_category IS NOT NULL"
 
 
-@add("ml_stack_benchmark", f"SELECT count(*) AS n, round(avg(CASE WHEN stack = truth THEN 1.0 ELSE 0.0 END), 6) AS top1 FROM ({_STACK})")
-def ml_stack_benchmark(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").filter("level1_category IS NOT NULL").select("employer", F.col("employer_norm").alias("name_norm"), F.col("level1_category").alias("truth"))
-    s = e.join(table(spark, d, "running_list").select("name_norm", F.col("level1_category").alias("prior")), "name_norm", "left")
-    stack = F.coalesce(R.longest_keyword(F.col("employer"), KEYWORDS), F.col("prior"))
-    return s.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.coalesce(stack == F.col("truth"), F.lit(False)).cast("double")), 6).alias("top1"))
-
-
 @add("ml_loo", "WITH e AS (SELECT employer_id, employer_norm AS k, level1_category AS v FROM employers WHERE level1_category IS NOT NULL), v AS (SELECT a.employer_id, a.v AS truth, b.v, count(*) AS n FROM e a JOIN e b ON a.k = b.k AND a.employer_id <> b.employer_id GROUP BY 1, 2, 3), w AS (SELECT employer_id, truth, arg_max(v, (n, v)) AS guess FROM v GROUP BY 1, 2) SELECT count(*) AS n, count(CASE WHEN truth = guess THEN 1 END) AS hits FROM w")
 def ml_loo(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "employers").filter("level1_category IS NOT NULL").select("employer_id", F.col("employer_norm").alias("k"), F.col("level1_category").alias("v"))
@@ -211,18 +150,3 @@ def ml_loo(spark: SparkSession, d: str) -> DataFrame:
 def llm_expand_full(spark: SparkSession, d: str) -> DataFrame:
     k = table(spark, d, "contributors").filter("contributor_employer IS NOT NULL").groupBy("contributor_name", "contributor_employer").agg(F.min("name_id").alias("name_id"))
     return table(spark, d, "contributions").select("row_id", "contributor_name", "contributor_employer").join(k, ["contributor_name", "contributor_employer"]).select("row_id", "name_id")
-
-
-@add("llm_backoff", "SELECT name_norm AS key, CASE WHEN ref_id % 3 = 0 THEN 'error' ELSE 'fetched' END AS status FROM running_list WHERE ref_id < 60")
-def llm_backoff(spark: SparkSession, d: str) -> DataFrame:
-    """An injected client that fails for some keys: tried again by `retrying`, then reported."""
-    keys = table(spark, d, "running_list").filter("ref_id < 60").select(F.concat_ws("|", F.col("ref_id").cast("string"), "name_norm").alias("key"))
-    empty = spark.createDataFrame([], "key string, result string")
-    return files.looked_up(keys, empty, "key", fetch=files.retrying(_client, waits=(0.0, 0.0))).select(F.regexp_replace("key", r"^\d+\|", "").alias("key"), "status")
-
-
-def _client(key: str) -> dict:
-    if int(key.split("|")[0]) % 3 == 0:
-        raise ConnectionError(key)
-    return {"key": key}
-

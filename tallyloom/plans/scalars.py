@@ -59,13 +59,6 @@ _on(
     lambda c: c.select("name_id", text.is_junk_employer(F.col("contributor_employer"), F.col("contributor_name")).alias("junk")),
 )
 _map("s_clean_field", "contributors", "name_id", "contributor_employer", lambda c: F.when(R.strip(F.lower(F.coalesce(c, F.lit("")))).isin("", "nan", "none", "n/a"), "").otherwise(R.strip(c)), "CASE WHEN strip(lower(coalesce(contributor_employer, ''))) IN ('', 'nan', 'none', 'n/a') THEN '' ELSE strip(contributor_employer) END")
-_on(
-    "s_embed_text",
-    "contributors",
-    """SELECT name_id, CASE WHEN nullif(trim(lower(contributor_occupation)), '') IS NOT NULL AND nullif(trim(lower(contributor_employer)), '') IS NOT NULL THEN trim(lower(contributor_occupation)) || ' at ' || trim(lower(contributor_employer))
-       ELSE coalesce(nullif(trim(lower(contributor_occupation)), ''), nullif(trim(lower(contributor_employer)), ''), lower(contributor_name)) END AS value FROM contributors WHERE NOT contains(coalesce(contributor_employer, '') || coalesce(contributor_occupation, ''), chr(160))""",
-    lambda c: c.filter(~F.concat(F.coalesce("contributor_employer", F.lit("")), F.coalesce("contributor_occupation", F.lit(""))).contains("\u00a0")).select("name_id", text.embed_text(F.col("contributor_occupation"), F.col("contributor_employer"), F.col("contributor_name")).alias("value")),
-)
 _map("s_unusable_individual", "contributors", "name_id", "contributor_occupation", lambda c: F.upper(F.coalesce(c, F.lit(""))).rlike(r"^\s*$|RETIRED|NOT EMPLOYED|UNEMPLOYED|SELF[- ]?EMPLOYED|INFORMATION REQUESTED"), "regexp_matches(upper(coalesce(contributor_occupation, '')), '^\\s*$|RETIRED|NOT EMPLOYED|UNEMPLOYED|SELF[- ]?EMPLOYED|INFORMATION REQUESTED')")
 _map("s_parse_candidate", "filers", "filer_id", "naml", lambda c: F.when(c.rlike(r"\b(NO ON|OPPOS)"), None).otherwise(F.nullif(F.regexp_extract(c, r"COMMITTEE TO ELECT (.+)$", 1), F.lit(""))), "CASE WHEN regexp_matches(naml, '\\b(NO ON|OPPOS)') THEN NULL ELSE nullif(regexp_extract(naml, 'COMMITTEE TO ELECT (.+)$', 1), '') END")
 _on("s_phonetic_key", "contributors", None, lambda c: c.select("name_id", similarity.phonetic_key(F.split_part("contributor_name", F.lit(","), F.lit(1))).alias("value")))
@@ -98,13 +91,9 @@ registry.add(
 )
 _map("s_size_lower_bound", "edd_listings", "edd_id", "size_class", text.size_lower_bound, "coalesce(try_cast(replace(regexp_extract(coalesce(size_class, ''), '([0-9][0-9,]*)', 1), ',', '') AS BIGINT), -1)")
 _on("s_extract_json_object", "events", "SELECT event_id, regexp_extract('reply: ' || props || ' end', '(?s)(\\{.*\\})', 1) AS value FROM events", lambda e: e.select("event_id", text.json_object(F.concat(F.lit("reply: "), "props", F.lit(" end"))).alias("value")))
-_on("s_url_domain", "web_search_cache", "SELECT search_id, nullif(regexp_replace(lower(regexp_extract(urls, '(?i)^(?:https?://)([^/?#:|;, \\n\\t]+)', 1)), '^www\\.', ''), '') AS value FROM web_search_cache WHERE regexp_matches(urls, '(?i)^https?://[a-z0-9.-]+(/|$)')", lambda w: w.filter(F.col("urls").rlike("(?i)^https?://[a-z0-9.-]+(/|$)")).select("search_id", text.url_domain(F.col("urls")).alias("value")))
-_on("s_html_description", "documents", "SELECT doc_id, left(trim(text), 400) AS value FROM documents WHERE lang = 'en' AND length(text) BETWEEN 61 AND 300 AND NOT regexp_matches(text, '[<>\\s\\x{a0}]{2}|[<>\"]|[\\t\\n\\r\\x{a0}]|^\\s|\\s$')", lambda c: c.filter((F.col("lang") == "en") & F.length("text").between(61, 300) & ~F.col("text").rlike(r"[<>\s\x{a0}]{2}|[<>\"]|[\t\n\r\x{a0}]|^\s|\s$")).select("doc_id", text.html_description(F.concat(F.lit("<html><p>short</p><p class='x'>"), "text", F.lit("</p></html>"))).alias("value")))
-_map("d_parse_multi", "contributions", "row_id", "start_date", lambda c: values.iso_date(F.concat(F.substring(c, 6, 2), F.lit("/"), F.substring(c, 9, 2), F.lit("/"), F.substring(c, 1, 4), F.lit(" 10:30:00"))), "CASE WHEN try_cast(start_date AS DATE) IS NOT NULL THEN start_date ELSE substr(start_date, 6, 2) || '/' || substr(start_date, 9, 2) || '/' || substr(start_date, 1, 4) END")
 _on("d_parse_rate", "contributions", "SELECT count(try_cast(start_date AS DATE)) AS parsed, count(*) AS n, round(avg(CASE WHEN start_date IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_share FROM contributions", lambda c: c.agg(F.count(F.try_to_date("start_date", "yyyy-MM-dd")).alias("parsed"), F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col("start_date").isNull().cast("double")), 6).alias("null_share")))
 _on("d_office_counts", "contributions", "SELECT office, count(*) AS n FROM contributions WHERE start_date > '2025-06-30' GROUP BY 1", lambda c: c.filter("start_date > '2025-06-30'").groupBy("office").agg(F.count(F.lit(1)).alias("n")))
 _on("d_future", "contributions", "SELECT count(*) AS n FROM contributions WHERE try_cast(start_date AS DATE) > DATE '2030-01-01'", lambda c: c.filter(F.try_to_date("start_date", "yyyy-MM-dd") > F.lit("2030-01-01").cast("date")).agg(F.count(F.lit(1)).alias("n")))
-_map("m_clean_amount", "contributions", "row_id", "amount", lambda c: values.clean_amount(F.concat(F.lit("$"), F.format_number(c, 2))), "round(amount, 2)")
 _map("m_amount_text", "contributions", "row_id", "amount", values.amount_text, "regexp_replace(printf('%.2f', amount), '\\.00$', '')")
 _on("m_weighted_score", "employers", "SELECT employer_id, round((CASE WHEN naics_code IS NOT NULL THEN 0.6 ELSE 0 END + CASE WHEN data_source_1 IS NOT NULL THEN 0.4 ELSE 0 END) / (0.6 + CASE WHEN entity_kind IS NULL THEN 0 ELSE 0.4 END), 6) AS score FROM employers", lambda e: e.select("employer_id", F.round((F.when(F.col("naics_code").isNotNull(), 0.6).otherwise(0.0) + F.when(F.col("data_source_1").isNotNull(), 0.4).otherwise(0.0)) / (0.6 + F.when(F.col("entity_kind").isNull(), 0.0).otherwise(0.4)), 6).alias("score")))
 _on("m_vote_conf", "employers", "SELECT employer_norm, round(max(n) / sum(n), 6) AS conf FROM (SELECT employer_norm, level1_category, count(*) AS n FROM employers WHERE level1_category IS NOT NULL GROUP BY 1, 2) GROUP BY 1", lambda e: e.filter("level1_category IS NOT NULL").groupBy("employer_norm", "level1_category").agg(F.count(F.lit(1)).alias("n")).groupBy("employer_norm").agg(F.round(F.max("n") / F.sum("n"), 6).alias("conf")))
@@ -112,13 +101,10 @@ _map("m_round", "contributions", "row_id", "amount", lambda c: F.round(c / 3, 3)
 _on("m_data_sufficiency", "contributions", "SELECT recipient_committee_id, CASE WHEN sum(CASE WHEN transaction_type LIKE 'Monetary%' THEN amount END) > 0 THEN round(sum(amount) / sum(CASE WHEN transaction_type LIKE 'Monetary%' THEN amount END), 6) END AS ratio FROM contributions GROUP BY 1", lambda c: c.groupBy("recipient_committee_id").agg(F.sum("amount").alias("a"), F.sum(F.when(F.col("transaction_type").startswith("Monetary"), F.col("amount"))).alias("b")).select("recipient_committee_id", F.when(F.col("b") > 0, F.round(F.try_divide("a", "b"), 6)).alias("ratio")))
 _map("m_log_bins", "contributions", "row_id", "amount", values.log_bin, "CASE WHEN amount > 0 THEN CAST(floor(log10(amount) * 4) AS BIGINT) END")
 _on("h_hash_id", "employers", "SELECT employer_norm, 'E' || substr(sha256(array_to_string(list_sort(list(DISTINCT employer_id::VARCHAR)), '||')), 1, 16) AS unit_id FROM employers GROUP BY 1", lambda e: e.groupBy("employer_norm").agg(F.collect_list(F.col("employer_id").cast("string")).alias("k")).select("employer_norm", values.set_id(F.col("k"), "E").alias("unit_id")))
-_on("h_row_hash", "contributions", "SELECT row_id, sha256(concat_ws('|', start_date, amount::VARCHAR, contributor_name)) = sha256(concat_ws('|', start_date, amount::VARCHAR, contributor_name)) AS same FROM contributions", lambda c: c.select("row_id", (F.xxhash64("start_date", "amount", "contributor_name") == F.xxhash64("start_date", "amount", "contributor_name")).alias("same")))
 _on("a_explode_codes", "running_list", "SELECT ref_id, unnest(string_split(coalesce(naics_code, '') || '|' || coalesce(level1_category, ''), '|')) AS part FROM running_list", lambda r: r.select("ref_id", F.explode(F.split(F.concat(F.coalesce("naics_code", F.lit("")), F.lit("|"), F.coalesce("level1_category", F.lit(""))), r"\|")).alias("part")))
 _on("a_zip_lists", "running_list", "SELECT ref_id, unnest(string_split(name_norm, ' ')) AS word, unnest(string_split(upper(ref_name), ' ')) AS typed FROM running_list", lambda r: r.select("ref_id", F.explode(values.zipped_rows(F.col("name_norm"), F.upper("ref_name"), sep=" ")).alias("z")).select("ref_id", F.col("z.0").alias("word"), F.col("z.1").alias("typed")))
 _on("a_filter_codes", "edd_listings", "SELECT edd_id, list_filter([edd_naics_code, left(edd_naics_code, 2), left(edd_naics_code, 4)], lambda x: length(x) = 4) AS fours FROM edd_listings WHERE edd_naics_code IS NOT NULL", lambda l: l.filter("edd_naics_code IS NOT NULL").select("edd_id", F.filter(F.array("edd_naics_code", F.substring("edd_naics_code", 1, 2), F.substring("edd_naics_code", 1, 4)), lambda x: F.length(x) == 4).alias("fours")))
-_on("a_pairwise_combn", "employers", "SELECT a.employer_id AS id_a, b.employer_id AS id_b FROM employers a JOIN employers b ON a.employer_norm = b.employer_norm AND a.employer_id < b.employer_id", lambda e: e.select("employer_norm", F.col("employer_id").alias("id_a")).join(e.select("employer_norm", F.col("employer_id").alias("id_b")), "employer_norm").filter("id_a < id_b").select("id_a", "id_b"))
 _on("a_pivot_longer", "filers", "SELECT filer_id, 'naml' AS part, naml AS value FROM filers UNION ALL SELECT filer_id, 'namf', namf FROM filers", lambda f: f.unpivot(["filer_id"], ["naml", "namf"], "part", "value"))
 _on("a_named_add", "contributions", "SELECT recipient_committee_id, office, round(sum(amount), 2) AS amount FROM contributions WHERE amount IS NOT NULL GROUP BY 1, 2", lambda c: c.filter("amount IS NOT NULL").groupBy("recipient_committee_id", "office").agg(F.round(F.sum("amount"), 2).alias("amount")))
 _on("a_concat_ids", "employers", "SELECT employer_norm, string_agg(employer_id::VARCHAR, ';' ORDER BY employer_id) AS ids FROM employers GROUP BY 1", lambda e: e.groupBy("employer_norm").agg(F.array_join(F.transform(F.array_sort(F.collect_list("employer_id")), lambda x: x.cast("string")), ";").alias("ids")))
 _map("j_props", "events", "event_id", "props", lambda c: values.json_field(c, "k").cast("bigint"), "CAST(json_extract_string(props, '$.k') AS BIGINT)")
-_on("j_llm_response", "web_search_cache", "SELECT search_id, lower(coalesce(confidence, 'low')) AS confidence, coalesce(nullif(trim(industry_summary), ''), 'no summary') = 'no summary' AS empty FROM web_search_cache", lambda w: w.select("search_id", F.from_json(F.to_json(F.struct("confidence", "industry_summary")), "confidence string, industry_summary string").alias("j")).select("search_id", F.lower(F.coalesce("j.confidence", F.lit("low"))).alias("confidence"), (F.coalesce(F.nullif(F.trim("j.industry_summary"), F.lit("")), F.lit("no summary")) == "no summary").alias("empty")))

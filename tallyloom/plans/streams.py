@@ -108,11 +108,6 @@ def src_cache_consolidate(spark: SparkSession, d: str) -> DataFrame:
     return files.consolidated([w.filter("search_id % 2 = 0"), w.filter("search_id % 2 = 1").drop("confidence")], "search_key", "search_id").select("search_key", "search_id")
 
 
-@add("src_json_state", "SELECT source_file, max(loaded_at) AS last_load, count(*) AS n FROM contributions GROUP BY 1")
-def src_json_state(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "contributions").groupBy("source_file").agg(F.max("loaded_at").alias("last_load"), F.count(F.lit(1)).alias("n"))
-
-
 @add("sink_append", "SELECT employer_norm, min(employer_id) AS employer_id FROM employers GROUP BY 1")
 def sink_append(spark: SparkSession, d: str) -> DataFrame:
     path = _place(spark, "append")
@@ -129,7 +124,3 @@ def sink_csv(spark: SparkSession, d: str) -> DataFrame:
     return files.read_csv(spark, path, ["occ_id", "occupation"])
 
 
-@add("sink_resume", "SELECT name_id FROM contributors WHERE name_id NOT IN (SELECT name_id FROM contributors WHERE data_source = 'manual')")
-def sink_resume(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "contributors").select("name_id", "data_source")
-    return c.join(c.filter("data_source = 'manual'").select("name_id"), "name_id", "left_anti").select("name_id")

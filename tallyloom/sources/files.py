@@ -7,6 +7,7 @@ import os
 import re
 import shutil
 import time
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
@@ -17,6 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    from tallyloom.session import shared_dir
+
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """df, or an error that names every missing column."""
     missing = [n for n in names if n not in df.columns]
