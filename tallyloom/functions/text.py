@@ -170,6 +170,11 @@ def is_junk_employer(employer: Column, name: Column) -> Column:
     return up.isin([x.replace("/", " ").replace("-", " ") for x in NO_EMPLOYER]) | ~up.rlike("[A-Z]") | ((own != "") & (up == normalize_name(name)))
 
 
+def clean_key(c: Column) -> Column:
+    """A text in lower case without blanks around it; null if nothing is left."""
+    return F.nullif(R.strip(F.lower(c)), F.lit(""))
+
+
 def embed_text(occupation: Column, employer: Column, name: Column) -> Column:
     """The text a donor is encoded by: 'occupation at employer', whichever there is, else the name."""
     o, e = F.nullif(R.strip(F.lower(occupation)), F.lit("")), F.nullif(R.strip(F.lower(employer)), F.lit(""))

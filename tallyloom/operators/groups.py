@@ -87,3 +87,19 @@ def conflicts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def joined_values(c: str, sep: str = " | ") -> Column:
     """The different non-blank values of a group, sorted and joined."""
     return F.array_join(F.array_sort(F.collect_set(F.when(F.trim(F.col(c)) != "", F.col(c)))), sep)
+
+
+def numbered(df: DataFrame, key: str, name: str = "n") -> DataFrame:
+    """Rows numbered from 1 by key without one task that holds them all: ranges are sorted apart and offset by the counts before them.
+
+    Rows of equal keys are numbered in no defined order.
+    """
+    from tallyloom.session import cut
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored, as ranges are sampled anew and merged anew whenever they are computed
+    ranged = cut(df.repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(F.lit(1)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))  # one row a partition
+    return ranged.join(F.broadcast(starts), "__p").withColumn(name, F.row_number().over(Window.partitionBy("__p").orderBy(key)) + F.col("__s")).drop("__p", "__s")

@@ -30,20 +30,66 @@ def char_grams(c, least: int = 2, most: int = 5):
     return F.flatten(F.transform(words(c), lambda w: of(F.concat(F.lit(" "), w, F.lit(" ")))))
 
 
-def tfidf(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9, terms=words) -> DataFrame:
+def tfidf(df: DataFrame, key: str, text: str, least: int = 2, most: float = 0.9, terms=words, limit: int | None = None) -> DataFrame:
     """(key, term, weight): sublinear TF-IDF, unit length, of terms (words, if not given) that at least `least` rows and at most a share `most` of rows hold.
 
-    idf is ln((1 + n) / (1 + df)) + 1. Terms are rows, so the vocabulary is not bounded by memory.
+    idf is ln((1 + n) / (1 + df)) + 1. Terms are rows, so the vocabulary is not bounded by memory; with a limit, only so many of
+    the most frequent terms are kept, the smaller ones on a tie.
     """
     held = df.select(F.col(key).alias("key"), F.explode(terms(F.col(text))).alias("term"))
-    tf = held.groupBy("key", "term").agg((1 + F.log(F.count(F.lit(1)).cast("double"))).alias("tf"))
+    tf = held.groupBy("key", "term").agg(F.count(F.lit(1)).alias("n"))
     n = df.count()
-    counts = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter((F.col("df") >= least) & (F.col("df") <= most * n))
-    weighed = tf.join(counts, "term").select("key", "term", (F.col("tf") * (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1)).alias("w"))
+    counts = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("all")).filter((F.col("df") >= least) & (F.col("df") <= most * n))
+    if limit is not None:
+        counts = counts.orderBy(F.desc("all"), "term").limit(limit)
+    weighed = tf.join(counts, "term").select("key", "term", ((1 + F.log(F.col("n").cast("double"))) * (F.log((F.lit(1.0) + n) / (1 + F.col("df"))) + 1)).alias("w"))
     length = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l"))
     return weighed.join(length, "key").select("key", "term", (F.col("w") / F.col("l")).alias("weight"))
 
 
+def hashed(df: DataFrame, key: str, text: str, dims: int = 256) -> DataFrame:
+    """(key, dim, value): word counts hashed into `dims` numbers and brought to unit length; a text without words gives no rows."""
+    dim = F.conv(F.substring(F.md5("term"), 1, 4), 16, 10).cast("int") % dims
+    counts = df.select(F.col(key).alias("key"), F.explode(words(F.col(text))).alias("term")).groupBy("key", dim.alias("dim")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    length = counts.groupBy("key").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("l"))
+    return counts.join(length, "key").select("key", "dim", (F.col("n") / F.col("l")).alias("value"))
+
+
+def word_votes(train: DataFrame, text: str, label: str) -> DataFrame:
+    """(term, label, share): of the training rows that hold a word, the share of each label; a model as rows, of any vocabulary."""
+    held = train.filter(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    counts = held.groupBy("term", "label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(counts.groupBy("term").agg(F.sum("n").alias("all")), "term").select("term", "label", (F.col("n") / F.col("all")).alias("share"))
+
+
+def ranked_labels(model: DataFrame, rows: DataFrame, key: str, text: str, k: int = 3) -> DataFrame:
+    """(key, top): the k labels with the most votes of each row's different words, in order; ties by label. Rows without a known word have no row."""
+    held = rows.select(F.col(key).alias("key"), F.explode(F.array_distinct(words(F.col(text)))).alias("term"))
+    votes = held.join(model, "term").groupBy("key", "label").agg(F.round(F.sum("share"), 9).alias("s"))
+    best = votes.groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("s"), "label"))), 1, k).alias("b"))  # as many entries as there are labels
+    return best.select("key", F.col("b.label").alias("top"))
+
+
+def in_top(truth, top, k: int, normalise=lambda c: F.upper(F.trim(c))):
+    """Whether a label is among the first k of a list, both normalised; false without a list."""
+    return F.coalesce(F.array_contains(F.transform(F.slice(top, 1, k), normalise), normalise(truth)), F.lit(False))
+
+
+def split_by_hash(df: DataFrame, key: str, share: float = 0.2, seed: int = 42) -> DataFrame:
+    """df with `held_out`: a share of every label's rows, by the hash of key and seed, so the same at every run and without a sort."""
+    return df.withColumn("held_out", F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), 1, 4), 16, 10).cast("int") < int(share * 65536))
+
+
+def trainable(df: DataFrame, label: str, least: int = 5, rows: int = 100) -> DataFrame:
+    """Rows with labels that at least `least` rows have; an error if fewer than `rows` are left."""
+    kept = df.filter(F.col(label).isNotNull())
+    supported = kept.groupBy(label).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= least).select(label)
+    out = kept.join(supported, label)
+    if out.limit(rows).count() < rows:
+        raise ValueError(f"fewer than {rows} rows to train on")
+    return out
+
+
 def nearest_by_terms(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """(query, item, sim): the k most similar items by the dot product of TF-IDF rows (key, term, weight); ties by the smaller item."""
     dots = (

@@ -6,7 +6,7 @@ import importlib
 
 from tallyloom.plans.registry import Registry
 
-MODULES = ("pipeline", "filters", "joins", "aggregates", "scalars", "entities", "rules", "learning", "streams", "more", "parsed")
+MODULES = ("pipeline", "filters", "joins", "aggregates", "scalars", "entities", "rules", "learning", "streams", "more", "parsed", "models", "staged")
 
 
 def core() -> Registry:

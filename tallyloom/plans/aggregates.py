@@ -9,7 +9,7 @@ from tallyloom.functions import values
 from tallyloom.functions.rewrites import strip
 from tallyloom.operators import groups as G
 from tallyloom.plans.registry import Registry
-from tallyloom.session import cut, table
+from tallyloom.session import table
 
 registry = Registry()
 
@@ -208,7 +208,7 @@ _on(
 _on("agg_grouping_sets", "contributions", "SELECT office, transaction_type, count(*) AS n FROM contributions GROUP BY GROUPING SETS ((office, transaction_type), (office), ())", lambda c: c.groupingSets([["office", "transaction_type"], ["office"], []], "office", "transaction_type").agg(n_rows().alias("n")))
 _on("agg_rollup", "contributions", "SELECT contributor_state, office, round(sum(amount), 2) AS total FROM contributions GROUP BY ROLLUP (contributor_state, office)", lambda c: c.rollup("contributor_state", "office").agg(F.round(F.sum("amount"), 2).alias("total")))
 
-_on("win_row_number_file", "filers", "SELECT filer_id, row_number() OVER (ORDER BY filer_id) AS n FROM filers", lambda f: _numbered(f.select("filer_id"), "filer_id"))
+_on("win_row_number_file", "filers", "SELECT filer_id, row_number() OVER (ORDER BY filer_id) AS n FROM filers", lambda f: G.numbered(f.select("filer_id"), "filer_id", "n"))
 _on("win_dup_rank", "contributions", "SELECT row_id, row_number() OVER (PARTITION BY contributor_name, amount, start_date ORDER BY row_id) AS dup_rank FROM contributions", lambda c: G.duplicate_rank(c, ["contributor_name", "amount", "start_date"], F.col("row_id")).select("row_id", F.col("dup_rank").cast("bigint").alias("dup_rank")))
 _on("win_group_total", "contributions", "SELECT row_id, round(sum(amount) OVER (PARTITION BY contributor_name, office), 2) AS total FROM contributions WHERE office IS NOT NULL", lambda c: G.with_group(c.filter("office IS NOT NULL").select("row_id", "contributor_name", "office", "amount"), ["contributor_name", "office"], total=F.round(F.sum("amount"), 2)).select("row_id", "total"))
 _on("win_group_max", "employers", "SELECT employer_id, max(n_donors) OVER (PARTITION BY employer_norm) AS most FROM employers", lambda e: G.with_group(e.select("employer_id", "employer_norm", "n_donors"), ["employer_norm"], most=F.max("n_donors")).select("employer_id", "most"))
@@ -231,7 +231,7 @@ _on("ord_categorical", "contributions", "SELECT office, CASE office WHEN 'Treasu
 _on("lim_topn_global", "contributions", "SELECT row_id, recipient_committee_id FROM contributions WHERE recipient_committee_id IN (SELECT recipient_committee_id FROM contributions GROUP BY 1 ORDER BY round(sum(amount), 2) DESC, 1 LIMIT 5)", lambda c: c.select("row_id", "recipient_committee_id").join(F.broadcast(c.groupBy("recipient_committee_id").agg(F.round(F.sum("amount"), 2).alias("t")).orderBy(F.desc("t"), "recipient_committee_id").limit(5).select("recipient_committee_id")), "recipient_committee_id", "left_semi"))
 _on("lim_top_contributors", "contributions", "SELECT contributor_name, round(sum(amount), 2) AS total FROM contributions GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1 LIMIT 20", lambda c: c.groupBy("contributor_name").agg(F.round(F.sum("amount"), 2).alias("total")).orderBy(F.desc_nulls_last("total"), "contributor_name").limit(20))
 _on("smp_random", "contributors", "SELECT name_id FROM contributors ORDER BY md5(name_id || '|42'), name_id LIMIT 100", lambda c: G.sample_rows(c.select("name_id"), 100, "name_id"))
-_on("smp_batch_slice", "contributors", "SELECT name_id FROM (SELECT name_id, row_number() OVER (ORDER BY name_id) AS r FROM contributors) WHERE r BETWEEN 101 AND 150", lambda c: _numbered(c.select("name_id"), "name_id").filter("n BETWEEN 101 AND 150").select("name_id"))
+_on("smp_batch_slice", "contributors", "SELECT name_id FROM (SELECT name_id, row_number() OVER (ORDER BY name_id) AS r FROM contributors) WHERE r BETWEEN 101 AND 150", lambda c: G.numbered(c.select("name_id"), "name_id", "n").filter("n BETWEEN 101 AND 150").select("name_id"))
 
 
 def _all():
@@ -241,19 +241,6 @@ def _all():
     return Window.partitionBy(F.lit(1))
 
 
-def _numbered(df: DataFrame, key: str) -> DataFrame:
-    """Rows numbered from 1 by key without one task that holds them all: ranges are sorted apart and offset by the counts before them."""
-    from pyspark.sql import Window
-
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # stored, as ranges are sampled anew and merged anew whenever they are computed
-    ranged = cut(df.repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id()), "ranges")
-    counts = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(F.lit(1)).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__p", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__s"))  # one row a partition
-    return ranged.join(F.broadcast(starts), "__p").withColumn("n", F.row_number().over(Window.partitionBy("__p").orderBy(key)) + F.col("__s")).drop("__p", "__s")
-
-
 def breakdown(spark: SparkSession, d: str) -> DataFrame:
     """Money of each race and recipient by category of the donor's employer, with shares."""
     c = table(spark, d, "contributions").filter("amount IS NOT NULL")

@@ -29,23 +29,28 @@ def st_incremental_append(spark: SparkSession, d: str) -> DataFrame:
     return S.run_available(S.first_seen(_events(spark, d), "event_id", "ts").select("event_id", "user_id", "event_type"))
 
 
-@add("st_tumbling", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+#: Windows that the watermark, a day behind the latest event, has closed; later ones are still open and not given yet.
+_CLOSED = "(SELECT max(ts) - INTERVAL 1 DAY FROM events)"
+
+
+@add("st_tumbling", f"SELECT start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, value FROM events) WHERE start + INTERVAL 1 HOUR <= {_CLOSED} GROUP BY 1, 2")
 def st_tumbling(spark: SparkSession, d: str) -> DataFrame:
     w = S.tumbling(_events(spark, d), "ts", "1 hour", "event_type", n=F.count(F.lit(1)), total=F.round(F.sum("value"), 4))
-    return S.run_available(w, "complete").select("start", "event_type", "n", "total")
+    return S.run_available(w).select("start", "event_type", "n", "total")
 
 
-@add("st_sliding", "SELECT b + INTERVAL (i * 30) MINUTE AS start, count(*) AS n FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events), (SELECT unnest([0, -1]) AS i) GROUP BY 1")
+@add("st_sliding", f"SELECT b + INTERVAL (i * 30) MINUTE AS start, count(*) AS n FROM (SELECT time_bucket(INTERVAL 30 MINUTE, ts) AS b FROM events), (SELECT unnest([0, -1]) AS i) WHERE b + INTERVAL (i * 30 + 60) MINUTE <= {_CLOSED} GROUP BY 1")
 def st_sliding(spark: SparkSession, d: str) -> DataFrame:
-    return S.run_available(S.sliding(_events(spark, d), "ts", "1 hour", "30 minutes", n=F.count(F.lit(1))), "complete").select("start", "n")
+    return S.run_available(S.sliding(_events(spark, d), "ts", "1 hour", "30 minutes", n=F.count(F.lit(1)))).select("start", "n")
 
 
 @add(
     "st_session",
-    """SELECT user_id, min(ts) AS start, count(*) AS n FROM (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s""",
+    f"""SELECT user_id, min(ts) AS start, count(*) AS n FROM (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events)) GROUP BY user_id, s
+        HAVING max(ts) + INTERVAL 30 MINUTE <= {_CLOSED}""",
 )
 def st_session(spark: SparkSession, d: str) -> DataFrame:
-    return S.run_available(S.sessions(_events(spark, d), "ts", "30 minutes", "user_id", n=F.count(F.lit(1))), "complete").select("user_id", "start", "n")
+    return S.run_available(S.sessions(_events(spark, d), "ts", "30 minutes", "user_id", n=F.count(F.lit(1)))).select("user_id", "start", "n")
 
 
 @add("src_csv_text", "SELECT filer_id, coalesce(naml, '') AS naml FROM filers")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import json
 import os
 import re
@@ -49,9 +50,12 @@ def find_column(names: list[str], *candidates: str) -> str | None:
     return next((known[bare(c)] for c in candidates if bare(c) in known), None)
 
 
-def read_csv(spark: SparkSession, path: str, names: list[str] | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """A CSV with a header, all columns text, blanks kept; a given list of names fixes the schema, so the file is read once."""
-    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
+def read_csv(spark: SparkSession, path: str, names: list[str] | None = None, encoding: str = "UTF-8", line_breaks: bool = False) -> DataFrame:
+    """A CSV with a header, all columns text, blanks kept; a given list of names fixes the schema, so the file is read once.
+
+    Files are split among tasks; with line_breaks, quoted values may hold line ends, and a file is one task's.
+    """
+    reader = spark.read.option("header", True).option("encoding", encoding).option("multiLine", line_breaks).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
     raw = (reader.schema(text_schema(names)) if names else reader.option("inferSchema", False)).csv(path)
     return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])  # the reader makes bare blanks null
 
@@ -138,6 +142,136 @@ def retrying(fetch: Callable[[str], dict], waits: tuple[float, ...] = (1.0, 2.0,
     return run
 
 
+def dispatched(providers: dict[str, Callable[[str], dict]]) -> Callable[[str], dict]:
+    """One function for several providers: keys are 'provider|key'; a provider that is not known is an error."""
+
+    def run(key: str) -> dict:
+        name, _, own = key.partition("|")
+        if name not in providers:
+            raise KeyError(f"no provider {name}")
+        return providers[name](own)
+
+    return run
+
+
+def answered(units: DataFrame, unit: str, ask: Callable[[list[str]], list[str]]) -> DataFrame:
+    """units (unit, batch, pos, ...) with `answer`: each batch is one call, and its answers belong to the units by position.
+
+    Batches are small by construction. A call that fails, or gives another number of answers, leaves its units' answers null.
+    """
+    schema = T.StructType([*units.schema, T.StructField("answer", T.StringType())])
+
+    def call(batch):
+        batch = batch.sort_values("pos", ignore_index=True)
+        try:
+            got = list(ask(batch[unit].tolist()))
+        except Exception:
+            got = []
+        return batch.assign(answer=got if len(got) == len(batch) else None)
+
+    return units.groupBy("batch").applyInPandas(call, schema)
+
+
+def save_state(spark: SparkSession, path: str, state: DataFrame) -> None:
+    """A state table as JSON lines over what was there: written beside it first, so that a failure leaves the old one."""
+    fresh = fresh_path(spark, "state")
+    state.write.json(fresh)
+    spark.read.schema(state.schema).json(fresh).write.mode("overwrite").json(path)
+
+
+def load_state(spark: SparkSession, path: str, default: DataFrame) -> DataFrame:
+    """The state at path, or default if there is none, or none that can be read."""
+    from tallyloom.session import cut
+
+    if not exists(spark, path):
+        return default
+    read = spark.read.schema(T.StructType([*default.schema, T.StructField("_corrupt_record", T.StringType())])).json(path)
+    state = cut(read, "state")  # the reader does not give its record of broken lines by itself
+    n, bad = state.select(F.count(F.lit(1)), F.count("_corrupt_record")).first()
+    return default if bad or not n else state.drop("_corrupt_record")
+
+
+def backed_up(df: DataFrame, path: str) -> None:
+    """Writes df over path; what was there the first time is kept once, at path.bak, and never written over."""
+    spark = df.sparkSession
+    if exists(spark, path) and not exists(spark, f"{path}.bak"):
+        spark.read.parquet(path).write.mode("error").parquet(f"{path}.bak")
+    df.write.mode("overwrite").parquet(path)
+
+
+def resumed(df: DataFrame, path: str, key: str, work: Callable[[DataFrame], DataFrame]) -> int:
+    """Appends work(rows) for the rows of df whose key is not at path yet; gives how many rows were left to do."""
+    left = df
+    if exists(df.sparkSession, path):
+        left = df.join(df.sparkSession.read.parquet(path).select(key), key, "left_anti")
+    n = left.count()
+    if n:
+        work(left).write.mode("append").parquet(path)
+    return n
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, on any file system the session knows."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def staged(spark: SparkSession, fetch: Callable[[], bytes], name: str, most_mb: int = 64) -> str:
+    """The path of what `fetch` gives, stored in the shared folder: downloads are made once, on the driver, before any plan."""
+    data = fetch()
+    if len(data) > most_mb << 20:
+        raise ValueError(f"{name} has more than {most_mb} MB")
+    path = f"{fresh_path(spark, 'staged')}/{name}"
+    fs, where = _file_system(spark, path)
+    out = fs.create(where)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+    return path
+
+
+def fetched(spark: SparkSession, path: str, most_mb: int = 64) -> bytes:
+    """The bytes of a small stored file, on the driver."""
+    found = spark.read.format("binaryFile").load(path)
+    row = found.select("length").first()
+    if row["length"] > most_mb << 20:
+        raise ValueError(f"{path} has more than {most_mb} MB")
+    return bytes(found.select("content").first()["content"])
+
+
+def read_sheet(spark: SparkSession, rows: Callable[[], list[list]]) -> DataFrame:
+    """A sheet that an interface gives as rows, the first one its header: all cells as text, short rows filled with ''."""
+    header, *body = rows()
+    return spark.createDataFrame([["" if i >= len(r) or r[i] is None else str(r[i]) for i in range(len(header))] for r in body], text_schema([str(h) for h in header]))
+
+
+def read_sheets(spark: SparkSession, data: bytes, sheets: tuple[int, ...] = (1,), skip: int = 0) -> DataFrame:
+    """Worksheets of a workbook under one another, columns by name, absent ones ''."""
+    frames = [read_xlsx(spark, data, s, skip) for s in sheets]
+    both = frames[0]
+    for f in frames[1:]:
+        both = both.unionByName(f, allowMissingColumns=True)
+    return both.na.fill("")
+
+
+def zip_members(data: bytes, suffixes: tuple[str, ...]) -> dict[str, bytes]:
+    """The first member of an archive for each suffix, whatever the case; a suffix without one is an error."""
+    out = {}
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        for suffix in suffixes:
+            name = next((n for n in z.namelist() if n.lower().endswith(suffix.lower())), None)
+            if name is None:
+                raise FileNotFoundError(f"no member ends with {suffix}")
+            out[suffix] = z.read(name)
+    return out
+
+
 def consolidated(frames: list[DataFrame], key: str, order: str) -> DataFrame:
     """Earlier outputs as one: columns by name, absent ones null, the last row of each key by order."""
     both = frames[0]
@@ -200,11 +334,11 @@ def extract_members(archive: str, suffixes: tuple[str, ...], target: str) -> lis
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
-def read_xlsx(spark: SparkSession, path: str, sheet: int = 1, skip: int = 0, most_mb: int = 64) -> DataFrame:
+def read_xlsx(spark: SparkSession, path: str | bytes, sheet: int = 1, skip: int = 0, most_mb: int = 64) -> DataFrame:
     """A worksheet as text columns, its header after `skip` rows; read on the driver, so larger files than most_mb are refused."""
-    if os.path.getsize(path) > most_mb << 20:
-        raise ValueError(f"{path} has more than {most_mb} MB; convert it to Parquet first")
-    with zipfile.ZipFile(path) as z:
+    if (len(path) if isinstance(path, bytes) else os.path.getsize(path)) > most_mb << 20:
+        raise ValueError(f"a workbook of more than {most_mb} MB; convert it to Parquet first")
+    with zipfile.ZipFile(io.BytesIO(path) if isinstance(path, bytes) else path) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in s.iter(f"{_SHEET}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{_SHEET}si")]
