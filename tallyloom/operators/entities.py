@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text
@@ -103,6 +103,36 @@ def similar_pairs(df: DataFrame, ident: str, name: str, auto: float = 0.9, revie
     return _linked(sent.groupBy("i", "j").applyInPandas(multiply, f"id_a {kind}, id_b {kind}, a string, b string, cosine double"), auto, review)
 
 
+def similar_by_rare_words(df: DataFrame, ident: str, name: str, least: float, words: int = 2) -> DataFrame:
+    """(id_a, id_b, jw): pairs of different names that share one of their `words` rarest words and are alike by Jaro-Winkler.
+
+    df holds each name once. A word that is frequent in the table is a key only of names that have no rarer ones; two names with
+    slips in all their rarest words are not met.
+    """
+    held = df.select(ident, name, F.explode(F.array_distinct(F.filter(F.split(name, " "), lambda w: w != ""))).alias("__w"))
+    counts = held.groupBy("__w").agg(F.count(F.lit(1)).alias("__n"))
+    order = F.row_number().over(Window.partitionBy(name).orderBy("__n", "__w"))
+    keys = held.hint("merge").join(counts, "__w").withColumn("__r", order).filter(F.col("__r") <= words).select("__w", ident, name)
+    left, right = (keys.select("__w", F.col(ident).alias(f"id_{x}"), F.col(name).alias(x)) for x in "ab")
+    pairs = left.hint("merge").join(right, "__w").filter("id_a < id_b").drop("__w").distinct()
+    return pairs.withColumn("jw", jaro_winkler(F.col("a"), F.col("b"))).filter(F.col("jw") >= least).select("id_a", "id_b", "jw")
+
+
+def two_blocks(df: DataFrame, ident: str, first: list[str], second: list[str], first_name: str, second_name: str) -> DataFrame:
+    """(ident, class of the first keys, class of the second, n_links): rows that meet by equal keys of either block.
+
+    A class is named by its smallest id, null where a key is null; n_links counts the different partners in both. No pair is made.
+    """
+    both = list(dict.fromkeys([*first, *second]))
+    known = lambda keys: F.lit(True) if not keys else sum((F.col(k).isNull().cast("int") for k in keys), F.lit(0)) == 0
+    out = df
+    for keys, name, n in ((first, first_name, "__a"), (second, second_name, "__b"), (both, "__both", "__ab")):
+        groups = df.filter(known(keys)).groupBy(*keys).agg(F.min(ident).alias(name), F.count(F.lit(1)).alias(n))
+        out = out.join(groups, keys, "left")
+    one = lambda c: F.coalesce(c, F.lit(1))
+    return out.select(ident, first_name, second_name, (one("__a") + one("__b") - one("__ab") - 1).alias("n_links"))
+
+
 def weighted_score(parts: list[tuple[Column, float, Column]]) -> Column:
     """Scores (score, weight, informative) with the weights of the informative ones brought to a sum of 1; null if none is."""
     total = sum((F.when(known, F.lit(w)).otherwise(0.0) for _, w, known in parts), F.lit(0.0))
@@ -135,4 +165,4 @@ def appended_names(registry: DataFrame, names: DataFrame) -> DataFrame:
     return registry.select("name", "entity", F.lit(True).alias("confirmed")).unionByName(fresh.select("name", "entity", F.lit(False).alias("confirmed")))
 
 
-__all__ = ["appended_names", "entity_groups", "exact_cascade", "name_variants", "pairs_within", "registry_links", "scored_pairs", "similar_pairs", "weighted_score"]
+__all__ = ["appended_names", "entity_groups", "exact_cascade", "name_variants", "pairs_within", "registry_links", "scored_pairs", "similar_by_rare_words", "similar_pairs", "two_blocks", "weighted_score"]

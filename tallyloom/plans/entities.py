@@ -21,12 +21,6 @@ def er_name_variants(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "filers").select("filer_id", *E.name_variants(F.col("naml")))
 
 
-@add("er_id_pairs", "SELECT DISTINCT a.contributor_id, least(a.contributor_name, b.contributor_name) AS name_a, greatest(a.contributor_name, b.contributor_name) AS name_b FROM contributions a JOIN contributions b ON a.contributor_id = b.contributor_id AND a.contributor_name < b.contributor_name")
-def er_id_pairs(spark: SparkSession, d: str) -> DataFrame:
-    names = table(spark, d, "contributions").filter("contributor_id IS NOT NULL").select("contributor_id", "contributor_name").distinct()
-    return E.pairs_within(names, ["contributor_id"], "contributor_name").select("contributor_id", F.col("id_a").alias("name_a"), F.col("id_b").alias("name_b"))
-
-
 @add(
     "er_exact_cascade",
     """WITH a AS (SELECT employer_id, upper(employer) AS v1, employer_norm AS v2, regexp_replace(employer_norm, ' (INC|LLC|CORP|CO|LTD|LP)$', '', 'g') AS v3 FROM employers),
@@ -39,18 +33,19 @@ def er_exact_cascade(spark: SparkSession, d: str) -> DataFrame:
     return E.exact_cascade(e, "employer_id", ["v1", "v2", "v3"])
 
 
-def _zip_pairs(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").filter("employer_zip IS NOT NULL").select("employer_id", F.substring("employer_zip", 1, 5).alias("zip"), F.substring("employer_norm", 1, 2).alias("head"), "employer_norm")
-    return E.scored_pairs(e, ["zip", "head"], "employer_id", "employer_norm")
+_RAREST = """w AS (SELECT employer_norm AS v, unnest(list_distinct(list_filter(string_split(employer_norm, ' '), lambda x: x <> ''))) AS t FROM (SELECT DISTINCT employer_norm FROM employers)),
+  d AS (SELECT t, count(*) AS n FROM w GROUP BY 1), k AS (SELECT v, t FROM (SELECT v, t, row_number() OVER (PARTITION BY v ORDER BY n, t) AS r FROM w JOIN d USING (t)) WHERE r <= 2)"""
 
 
 @add(
     "er_org_fuzzy",
-    """WITH n AS (SELECT left(employer_zip, 5) AS z, left(employer_norm, 2) AS h, employer_norm AS v, min(employer_id) AS i FROM employers WHERE employer_zip IS NOT NULL GROUP BY 1, 2, 3)
-       SELECT a.i AS id_a, b.i AS id_b FROM n a JOIN n b ON a.z = b.z AND a.h = b.h AND a.i < b.i WHERE jaro_winkler_similarity(a.v, b.v) >= 0.97""",
+    f"""WITH {_RAREST}, i AS (SELECT employer_norm AS v, min(employer_id) AS id FROM employers GROUP BY 1), p AS (SELECT DISTINCT a.v AS a, b.v AS b FROM k a JOIN k b USING (t) WHERE a.v < b.v)
+       SELECT least(x.id, y.id) AS id_a, greatest(x.id, y.id) AS id_b FROM p JOIN i x ON x.v = p.a JOIN i y ON y.v = p.b WHERE jaro_winkler_similarity(p.a, p.b) >= 0.97""",
 )
 def er_org_fuzzy(spark: SparkSession, d: str) -> DataFrame:
-    return _zip_pairs(spark, d).filter("jw >= 0.97").select("id_a", "id_b")
+    """Different names that share one of their two rarest words, wherever they are; each name stands under its first employer_id."""
+    e = table(spark, d, "employers").filter("employer_norm IS NOT NULL").groupBy(F.col("employer_norm").alias("v")).agg(F.min("employer_id").alias("id"))
+    return E.similar_by_rare_words(e, "id", "v", 0.97).select("id_a", "id_b")
 
 
 @add("er_org_links")
@@ -66,16 +61,11 @@ def _individuals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _indiv_pairs(people: DataFrame) -> DataFrame:
-    keyed = people.select("name_id", "zip", similarity.phonetic_key(F.col("last")).alias("sound"), F.substring("first", 1, 1).alias("initial"))
+    keyed = people.select("name_id", "zip", similarity.metaphone(F.col("last")).alias("sound"), F.substring("first", 1, 1).alias("initial"))
     by_zip = E.pairs_within(keyed, ["sound", "zip"], "name_id").select("id_a", "id_b")
     return by_zip.unionByName(E.pairs_within(keyed, ["sound", "initial"], "name_id").select("id_a", "id_b")).distinct()
 
 
-@add("er_indiv_block")
-def er_indiv_block(spark: SparkSession, d: str) -> DataFrame:
-    return _indiv_pairs(_individuals(spark, d))
-
-
 #: Employers and occupations that tell nothing about a person.
 UNINFORMATIVE = ("", "UNKNOWN", "RETIRED", "NONE", "NOT EMPLOYED", "UNEMPLOYED", "SELF EMPLOYED")
 
@@ -105,7 +95,7 @@ def er_freq_threshold(spark: SparkSession, d: str) -> DataFrame:
     return c.join(f, "k").select("name_id", F.when(F.col("n") >= 50, 0.95).when(F.col("n") >= 10, 0.9).when(F.col("n") >= 3, 0.85).otherwise(0.8).alias("least"))
 
 
-_EDGES = "SELECT l_suppkey AS parent, l_partkey % (SELECT count(*) FROM supplier) AS child, round(sum(l_extendedprice), 2) AS amount FROM lineitem WHERE l_quantity >= 50 AND l_linenumber = 1 AND l_suppkey <> l_partkey % (SELECT count(*) FROM supplier) GROUP BY 1, 2"
+_EDGES = "SELECT l_suppkey AS parent, l_partkey % (SELECT count(*) FROM supplier) AS child, round(sum(l_extendedprice), 2) AS amount FROM lineitem WHERE l_suppkey <> l_partkey % (SELECT count(*) FROM supplier) GROUP BY 1, 2"
 
 
 def _edges(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
@@ -119,19 +109,13 @@ def money_edges(spark: SparkSession, d: str) -> DataFrame:
     return _edges(spark, d, table(spark, d, "lineitem"))
 
 
-def thinned_edges(spark: SparkSession, d: str, acyclic: bool = False) -> DataFrame:
-    """The edges of _EDGES, for the queries whose SQL is stated on that thinned graph."""
-    e = _edges(spark, d, table(spark, d, "lineitem").filter("l_quantity >= 50 AND l_linenumber = 1"))
-    return e.filter("parent < child") if acyclic else e
-
-
 @add(
     "er_components",
     f"""WITH RECURSIVE e AS ({_EDGES}), u AS (SELECT parent AS a, child AS b FROM e UNION SELECT child, parent FROM e), r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a)
         SELECT node, min(seen) AS component FROM r GROUP BY 1""",
 )
 def er_components(spark: SparkSession, d: str) -> DataFrame:
-    return graph.components(thinned_edges(spark, d).select(F.col("parent").alias("a"), F.col("child").alias("b")))
+    return graph.components(money_edges(spark, d).select(F.col("parent").alias("a"), F.col("child").alias("b")))
 
 
 @add("er_cluster_uuid", "SELECT e.employer_norm AS cluster, CASE WHEN count(DISTINCT r.ref_id) = 0 THEN 'new' WHEN count(DISTINCT r.ref_id) = 1 THEN 'reuse' ELSE 'conflict' END AS status FROM employers e LEFT JOIN running_list r ON e.employer_norm = r.name_norm GROUP BY 1")
@@ -224,12 +208,13 @@ def gr_aggregate(spark: SparkSession, d: str) -> DataFrame:
 
 @add(
     "gr_traverse_bfs",
-    f"""WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT DISTINCT parent AS seed, parent AS node, 0 AS depth FROM e WHERE parent < 10 UNION SELECT r.seed, e.child, r.depth + 1 FROM r JOIN e ON r.node = e.parent WHERE r.depth < 5)
+    f"""WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT DISTINCT parent AS seed, parent AS node, 0 AS depth FROM e UNION SELECT r.seed, e.child, r.depth + 1 FROM r JOIN e ON r.node = e.parent WHERE r.depth < 5)
         SELECT seed, node, min(depth) AS depth FROM r GROUP BY 1, 2""",
 )
 def gr_traverse_bfs(spark: SparkSession, d: str) -> DataFrame:
-    e = thinned_edges(spark, d)
-    return graph.reachable(e, e.filter("parent < 10").select(F.col("parent").alias("node")), 5)
+    """Walks of up to five steps, as surveyed, from every node that has children."""
+    e = money_edges(spark, d)
+    return graph.reachable(e, e.select(F.col("parent").alias("node")).distinct(), 5)
 
 
 @add("gr_id_propagation", "SELECT d.name, CASE WHEN count(DISTINCT f.filer_id) = 1 THEN min(f.filer_id) END AS filer_id FROM (SELECT DISTINCT upper(contributor_name) AS name FROM contributions) d JOIN filers f ON d.name = upper(f.naml) GROUP BY 1")
@@ -247,7 +232,7 @@ def gr_type_priority(spark: SparkSession, d: str) -> DataFrame:
 
 @add("gr_classifiability", f"WITH e AS ({_EDGES}), i AS (SELECT child AS node, sum(amount) AS got FROM e GROUP BY 1), o AS (SELECT parent AS node, sum(amount) AS gave FROM e GROUP BY 1) SELECT node, round(got / gave, 6) AS sufficiency FROM i JOIN o USING (node) WHERE gave > 0")
 def gr_classifiability(spark: SparkSession, d: str) -> DataFrame:
-    e = thinned_edges(spark, d)
+    e = money_edges(spark, d)
     got, gave = (e.groupBy(F.col(c).alias("node")).agg(F.sum("amount").alias(n)) for c, n in (("child", "got"), ("parent", "gave")))
     return got.join(gave, "node").filter("gave > 0").select("node", F.round(F.col("got") / F.col("gave"), 6).alias("sufficiency"))
 
@@ -257,13 +242,10 @@ def gr_resolvable_tag(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "filers").select("filer_id", F.when(F.col("filer_status").isNull(), "no status").when(F.col("filer_status") != "ACTIVE", "closed").when(F.col("naml").isNull(), "no name").otherwise("resolvable").alias("tag"))
 
 
-@add(
-    "gr_topo_order",
-    f"""WITH RECURSIVE e AS (SELECT * FROM ({_EDGES}) WHERE parent < child), r AS (SELECT parent AS node, 0 AS l FROM e UNION SELECT child, 0 FROM e UNION SELECT e.parent, r.l + 1 FROM r JOIN e ON e.child = r.node)
-        SELECT node, max(l) AS layer FROM r GROUP BY 1""",
-)
+@add("gr_topo_order")
 def gr_topo_order(spark: SparkSession, d: str) -> DataFrame:
-    return graph.layers(thinned_edges(spark, d, acyclic=True))
+    """The layer of each node by its highest child; null on and above cycles. SQL has no such fixed point: tested against brute force."""
+    return graph.layers(money_edges(spark, d))
 
 
 @add("gr_cycles")
@@ -275,24 +257,31 @@ def _own(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("node"), F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("label"), F.lit(50000.0).alias("amount"))
 
 
-@add("gr_industry_distribution")
+#: Money is passed on in so many steps, as surveyed.
+_STEPS = 5
+
+
+def _passed_sql(own: str) -> str:
+    """Tables n0 to nN of what each node's money consists of after each step."""
+    steps = [f"n0 AS ({own})"]
+    for k in range(_STEPS):
+        steps.append(f"n{k + 1} AS (SELECT node, label, sum(amount) AS amount FROM (SELECT * FROM n0 UNION ALL SELECT e.parent, n{k}.label, e.amount * n{k}.amount / w.whole FROM n{k} JOIN w USING (node) JOIN e ON e.child = n{k}.node) GROUP BY 1, 2)")
+    whole = "w AS (SELECT node, coalesce(own, 0) + coalesce(came, 0) AS whole FROM (SELECT node, sum(amount) AS own FROM n0 GROUP BY 1) FULL JOIN (SELECT parent AS node, sum(amount) AS came FROM e GROUP BY 1) USING (node))"
+    return f"WITH e AS ({_EDGES}), {steps[0]}, {whole}, {', '.join(steps[1:])}"
+
+
+@add("gr_industry_distribution", _passed_sql("SELECT s_suppkey AS node, 'N' || s_nationkey AS label, 50000.0::DOUBLE AS amount FROM supplier") + f" SELECT node, label, round(amount, 2) AS amount FROM n{_STEPS}")
 def gr_industry_distribution(spark: SparkSession, d: str) -> DataFrame:
-    return graph.passed_down(money_edges(spark, d), _own(spark, d), 5).select("node", "label", F.round("amount", 2).alias("amount"))
+    return graph.passed_down(money_edges(spark, d), _own(spark, d), _STEPS).select("node", "label", F.round("amount", 2).alias("amount"))
 
 
-@add(
-    "gr_resolvable_fraction",
-    f"""WITH RECURSIVE e AS (SELECT * FROM ({_EDGES}) WHERE parent < child), t AS (SELECT parent, sum(amount) AS came FROM e GROUP BY 1),
-        w AS (SELECT s.s_suppkey AS node, 50000.0 + coalesce(t.came, 0) AS whole FROM supplier s LEFT JOIN t ON t.parent = s.s_suppkey),
-        r AS (SELECT s_suppkey AS node, s_suppkey AS source, 50000.0::DOUBLE AS amount, 0 AS depth FROM supplier UNION ALL SELECT e.parent, r.source, r.amount * e.amount / w.whole, r.depth + 1 FROM r JOIN e ON e.child = r.node JOIN w ON w.node = r.node WHERE r.depth < 8)
-        SELECT r.node, round(sum(r.amount) / any_value(w.whole), 4) AS fraction FROM r JOIN w ON w.node = r.node GROUP BY 1""",
-)
+@add("gr_resolvable_fraction", _passed_sql("SELECT s_suppkey AS node, 'own' AS label, 50000.0::DOUBLE AS amount FROM supplier") + f" SELECT node, round(amount / whole, 6) AS fraction FROM n{_STEPS} JOIN w USING (node)")
 def gr_resolvable_fraction(spark: SparkSession, d: str) -> DataFrame:
-    e = thinned_edges(spark, d, acyclic=True)
+    e = cut(money_edges(spark, d), "edges")
     own = table(spark, d, "supplier").select(F.col("s_suppkey").alias("node"), F.lit("own").alias("label"), F.lit(50000.0).alias("amount"))
-    known = graph.passed_down(e, own, 8).groupBy("node").agg(F.sum("amount").alias("known"))
-    came = e.groupBy(F.col("parent").alias("node")).agg(F.sum("amount").alias("came"))
-    return known.join(came, "node", "left").select("node", F.round(F.col("known") / (50000.0 + F.coalesce("came", F.lit(0.0))), 4).alias("fraction"))
+    known = graph.passed_down(e, own, _STEPS).groupBy("node").agg(F.sum("amount").alias("known"))
+    whole = own.select("node", "amount").unionByName(e.select(F.col("parent").alias("node"), "amount")).groupBy("node").agg(F.sum("amount").alias("whole"))
+    return known.join(whole, "node").select("node", F.round(F.col("known") / F.col("whole"), 6).alias("fraction"))
 
 
 @add(
@@ -312,10 +301,71 @@ def gr_split_contribution(spark: SparkSession, d: str) -> DataFrame:
 @add("gr_seed_coverage", f"WITH e AS ({_EDGES}) SELECT parent AS seed, round(sum(CASE WHEN s.s_acctbal > 0 THEN amount ELSE 0 END) / sum(amount), 6) AS coverage FROM e JOIN supplier s ON s.s_suppkey = e.child GROUP BY 1")
 def gr_seed_coverage(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("child"), "s_acctbal")
-    return thinned_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("seed")).agg(F.round(F.sum(F.when(F.col("s_acctbal") > 0, F.col("amount")).otherwise(0.0)) / F.sum("amount"), 6).alias("coverage"))
+    return money_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("seed")).agg(F.round(F.sum(F.when(F.col("s_acctbal") > 0, F.col("amount")).otherwise(0.0)) / F.sum("amount"), 6).alias("coverage"))
 
 
 @add("gr_pac_review_queue", f"WITH e AS ({_EDGES}) SELECT parent AS node, string_agg(DISTINCT n.n_name, ' | ' ORDER BY n.n_name) AS labels FROM e JOIN supplier s ON s.s_suppkey = e.child JOIN nation n ON n.n_nationkey = s.s_nationkey GROUP BY 1 HAVING count(DISTINCT n.n_name) > 1")
 def gr_pac_review_queue(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("child"), "n_name")
-    return thinned_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("node")).agg(F.array_sort(F.collect_set("n_name")).alias("l")).filter("size(l) > 1").select("node", F.array_join("l", " | ").alias("labels"))
+    return money_edges(spark, d).join(s, "child").groupBy(F.col("parent").alias("node")).agg(F.array_sort(F.collect_set("n_name")).alias("l")).filter("size(l) > 1").select("node", F.array_join("l", " | ").alias("labels"))
+
+
+@add("er_id_pairs", 'SELECT contributor_id, contributor_name AS name, min(contributor_name) OVER w AS "class", count(*) OVER w - 1 AS n_links FROM (SELECT DISTINCT contributor_id, contributor_name FROM contributions WHERE contributor_id IS NOT NULL AND contributor_name IS NOT NULL) WINDOW w AS (PARTITION BY contributor_id)')
+def er_id_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The different names of one id: their class is named by the smallest, and each is linked to all others."""
+    names = table(spark, d, "contributions").filter("contributor_id IS NOT NULL AND contributor_name IS NOT NULL").select("contributor_id", F.col("contributor_name").alias("name")).distinct()
+    groups = names.groupBy("contributor_id").agg(F.min("name").alias("class"), (F.count(F.lit(1)) - 1).alias("n_links"))
+    return names.join(groups, "contributor_id").select("contributor_id", "name", "class", "n_links")
+
+
+@add("er_bridge", 'SELECT search_key, standardized_name AS name, min(standardized_name) OVER w AS "class", count(*) OVER w - 1 AS n_links FROM (SELECT DISTINCT search_key, standardized_name FROM web_search_cache WHERE search_key IS NOT NULL AND standardized_name IS NOT NULL) WINDOW w AS (PARTITION BY search_key)')
+def er_bridge(spark: SparkSession, d: str) -> DataFrame:
+    names = table(spark, d, "web_search_cache").filter("search_key IS NOT NULL AND standardized_name IS NOT NULL").select("search_key", F.col("standardized_name").alias("name")).distinct()
+    groups = names.groupBy("search_key").agg(F.min("name").alias("class"), (F.count(F.lit(1)) - 1).alias("n_links"))
+    return names.join(groups, "search_key").select("search_key", "name", "class", "n_links")
+
+
+_TIER = "CASE WHEN a.contributor_employer = b.contributor_employer AND a.contributor_zip_code = b.contributor_zip_code THEN 'auto' WHEN a.contributor_zip_code = b.contributor_zip_code THEN 'likely' WHEN a.contributor_city = b.contributor_city THEN 'review' ELSE 'none' END"
+
+
+@add("er_link_tier", f'SELECT b.name_id, a.name_id AS "class", {_TIER} AS tier FROM (SELECT standardized_name, min(name_id) AS first FROM contributors GROUP BY 1) f JOIN contributors a ON a.name_id = f.first JOIN contributors b ON b.standardized_name = f.standardized_name AND b.name_id <> a.name_id')
+def er_link_tier(spark: SparkSession, d: str) -> DataFrame:
+    """Each record against the first one of its name: how surely the two are one."""
+    c = table(spark, d, "contributors").filter("standardized_name IS NOT NULL").select("standardized_name", "name_id", "contributor_employer", "contributor_zip_code", "contributor_city")
+    first = c.groupBy("standardized_name").agg(F.min_by(F.struct(*[F.col(x) for x in c.columns[1:]]), "name_id").alias("f"))
+    same = lambda x: F.col(f"f.{x}") == F.col(x)
+    tier = F.when(same("contributor_employer") & same("contributor_zip_code"), "auto").when(same("contributor_zip_code"), "likely").when(same("contributor_city"), "review").otherwise("none")
+    return c.join(first, "standardized_name").filter("name_id <> f.name_id").select("name_id", F.col("f.name_id").alias("class"), tier.alias("tier"))
+
+
+@add("er_indiv_block")
+def er_indiv_block(spark: SparkSession, d: str) -> DataFrame:
+    """(name_id, by_zip, by_initial, n_links): the classes of both blocks, and with how many others each individual is compared."""
+    people = _individuals(spark, d)
+    keyed = cut(people.select("name_id", "zip", similarity.metaphone(F.col("last")).alias("sound"), F.substring("first", 1, 1).alias("initial")), "keyed")
+    return E.two_blocks(keyed, "name_id", ["sound", "zip"], ["sound", "initial"], "by_zip", "by_initial")
+
+
+_HEAD = "split_part(employer_norm, ' ', 1)"
+
+
+@add(
+    "join_blocked",
+    f"""SELECT employer_id, CASE WHEN employer_norm IS NOT NULL THEN min(employer_id) OVER (PARTITION BY employer_norm) END AS by_name, CASE WHEN employer_zip IS NOT NULL THEN min(employer_id) OVER (PARTITION BY employer_zip, head) END AS by_place,
+        CASE WHEN employer_norm IS NOT NULL THEN count(*) OVER (PARTITION BY employer_norm) ELSE 1 END + CASE WHEN employer_zip IS NOT NULL THEN count(*) OVER (PARTITION BY employer_zip, head) ELSE 1 END - CASE WHEN employer_norm IS NOT NULL AND employer_zip IS NOT NULL THEN count(*) OVER (PARTITION BY employer_norm, employer_zip, head) ELSE 1 END - 1 AS n_links
+        FROM (SELECT employer_id, employer_norm, employer_zip, {_HEAD} AS head FROM employers)""",
+)
+def join_blocked(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that meet by name, or by zip and first word: both classes of each row, and its number of different partners."""
+    e = table(spark, d, "employers").select("employer_id", "employer_norm", "employer_zip", F.split_part("employer_norm", F.lit(" "), F.lit(1)).alias("head"))
+    return E.two_blocks(e, "employer_id", ["employer_norm"], ["employer_zip", "head"], "by_name", "by_place")
+
+
+@add(
+    "join_bridge_pairs",
+    'SELECT naics_code, employer_zip, employer_norm AS name, min(employer_norm) OVER w AS "class", count(*) OVER w - 1 AS n_links FROM (SELECT DISTINCT naics_code, employer_zip, employer_norm FROM employers WHERE naics_code IS NOT NULL AND employer_zip IS NOT NULL) WINDOW w AS (PARTITION BY naics_code, employer_zip)',
+)
+def join_bridge_pairs(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "employers").filter("naics_code IS NOT NULL AND employer_zip IS NOT NULL").select("naics_code", "employer_zip", F.col("employer_norm").alias("name")).distinct()
+    groups = e.groupBy("naics_code", "employer_zip").agg(F.min("name").alias("class"), (F.count(F.lit(1)) - 1).alias("n_links"))
+    return e.join(groups, ["naics_code", "employer_zip"]).select("naics_code", "employer_zip", "name", "class", "n_links")

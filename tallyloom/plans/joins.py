@@ -92,26 +92,6 @@ def join_name_multi(spark: SparkSession, d: str) -> DataFrame:
     return ids.join(used, "standardized_name", "left_semi").groupBy("standardized_name").agg(F.count_distinct("name_id").alias("n_ids"), F.count(F.lit(1)).alias("n_rows")).filter("n_ids > 1")
 
 
-@add(
-    "join_blocked",
-    """SELECT DISTINCT a.employer_id AS id_a, b.employer_id AS id_b FROM employers a JOIN employers b ON a.employer_id < b.employer_id
-       AND ((a.employer_norm = b.employer_norm) OR (a.employer_zip = b.employer_zip AND split_part(a.employer_norm, ' ', 1) = split_part(b.employer_norm, ' ', 1)))""",
-)
-def join_blocked(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").select("employer_id", "employer_norm", "employer_zip", F.split_part("employer_norm", F.lit(" "), F.lit(1)).alias("head"))
-    return J.pairs_within(e, ["employer_norm"], "employer_id").select("id_a", "id_b").union(J.pairs_within(e, ["employer_zip", "head"], "employer_id").select("id_a", "id_b")).distinct()
-
-
-@add(
-    "join_bridge_pairs",
-    """SELECT DISTINCT least(a.employer_norm, b.employer_norm) AS name_a, greatest(a.employer_norm, b.employer_norm) AS name_b FROM employers a JOIN employers b
-       ON a.naics_code = b.naics_code AND a.employer_zip = b.employer_zip AND a.employer_norm <> b.employer_norm""",
-)
-def join_bridge_pairs(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "employers").select("naics_code", "employer_zip", "employer_norm").distinct()
-    return J.pairs_within(e, ["naics_code", "employer_zip"], "employer_norm").select(F.col("id_a").alias("name_a"), F.col("id_b").alias("name_b")).distinct()
-
-
 @add("join_prefix_longest", """SELECT l.edd_id, (SELECT max_by(s.v, length(s.p)) FROM (SELECT naics_code AS p, min(level2_category) AS v FROM running_list WHERE naics_code IS NOT NULL AND level2_category IS NOT NULL GROUP BY 1) s WHERE starts_with(l.edd_naics_code, s.p)) AS sector FROM edd_listings l""")
 def join_prefix_longest(spark: SparkSession, d: str) -> DataFrame:
     rules = table(spark, d, "running_list").filter("naics_code IS NOT NULL AND level2_category IS NOT NULL").groupBy("naics_code").agg(F.min("level2_category").alias("sector"))

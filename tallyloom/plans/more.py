@@ -65,22 +65,6 @@ _on("j_state", "events", "SELECT event_id, coalesce(CAST(json_extract_string(pro
 _on("j_paged_rows", "filers", "SELECT filer_id FROM filers", lambda f: files.json_pages(f.select(F.to_json(F.struct(F.array(F.lit("filer_id")).alias("columns"), F.array(F.array("filer_id")).alias("rows"))).alias("page"))).select(F.col("fields")["filer_id"].alias("filer_id")))
 
 
-@add("er_bridge", "SELECT DISTINCT least(a.standardized_name, b.standardized_name) AS name_a, greatest(a.standardized_name, b.standardized_name) AS name_b FROM web_search_cache a JOIN web_search_cache b ON a.search_key = b.search_key AND a.standardized_name < b.standardized_name")
-def er_bridge(spark: SparkSession, d: str) -> DataFrame:
-    w = table(spark, d, "web_search_cache").select("search_key", "standardized_name").distinct()
-    return E.pairs_within(w, ["search_key"], "standardized_name").select(F.col("id_a").alias("name_a"), F.col("id_b").alias("name_b")).distinct()
-
-
-_TIER = "CASE WHEN a.contributor_employer = b.contributor_employer AND a.contributor_zip_code = b.contributor_zip_code THEN 'auto' WHEN a.contributor_zip_code = b.contributor_zip_code THEN 'likely' WHEN a.contributor_city = b.contributor_city THEN 'review' ELSE 'none' END"
-
-
-@add("er_link_tier", f"SELECT a.name_id AS id_a, b.name_id AS id_b, {_TIER} AS tier FROM contributors a JOIN contributors b ON a.standardized_name = b.standardized_name AND a.name_id < b.name_id")
-def er_link_tier(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "contributors").select("standardized_name", "name_id", "contributor_employer", "contributor_zip_code", "contributor_city")
-    a, b = (c.select("standardized_name", *[F.col(x).alias(f"{s}_{x}") for x in c.columns[1:]]) for s in "ab")
-    same = lambda x: F.col(f"a_{x}") == F.col(f"b_{x}")
-    tier = F.when(same("contributor_employer") & same("contributor_zip_code"), "auto").when(same("contributor_zip_code"), "likely").when(same("contributor_city"), "review").otherwise("none")
-    return a.join(b, "standardized_name").filter("a_name_id < b_name_id").select(F.col("a_name_id").alias("id_a"), F.col("b_name_id").alias("id_b"), tier.alias("tier"))
 
 
 def _case(column: str, rules) -> str:
