@@ -76,19 +76,21 @@ def banded_pairs(left: DataFrame, right: DataFrame, on: list[str], left_value: s
     return l.join(r, [*on, "__band"]).filter(F.abs(F.col(left_value) - F.col(right_value)) <= width).drop("__band")
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, span: str = "month") -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str, span: str = "month", width: float = 1_000_000) -> DataFrame:
     """left with the value of the latest right row of its key at or before its time; null without one, or with a null key or time.
 
     Of right rows of one key and time the largest value counts. A key's rows are divided into spans of time, so that a hot key is
     spread over as many tasks as it has spans; what a span starts with is carried over from the last span before it that has a
-    right row. There is no join by range.
+    right row. There is no join by range. Times are divided by `span`, numbers by `width`.
     """
-    part = F.date_trunc(span, F.col(time)).alias("__span")
+    dated = left.schema[time].dataType.typeName() in ("date", "timestamp", "timestamp_ntz")
+    of = lambda c: F.date_trunc(span, c) if dated else F.floor(F.col(c) / width)
+    part = of(time).alias("__span")
     known = [F.col(k).isNotNull() for k in keys]
     r = right.filter(F.col(time).isNotNull() & F.col(value).isNotNull())
     for k in known:
         r = r.filter(k)
-    r = r.groupBy(*keys, F.col(time).alias("__t")).agg(F.max(value).alias("__v")).withColumn("__span", F.date_trunc(span, "__t"))
+    r = r.groupBy(*keys, F.col(time).alias("__t")).agg(F.max(value).alias("__v")).withColumn("__span", of("__t"))
     last = r.groupBy(*keys, "__span").agg(F.max_by("__v", "__t").alias("__last"))
     spans = last.select(*keys, "__span").unionByName(left.filter(F.col(time).isNotNull()).select(*keys, part)).distinct().join(last, [*keys, "__span"], "left")
     before = Window.partitionBy(*keys).orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)

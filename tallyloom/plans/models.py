@@ -48,7 +48,7 @@ def ml_encode(spark: SparkSession, d: str) -> DataFrame:
 _HELD = "CAST('0x' || substr(md5(employer_id || '|42'), 1, 4) AS INTEGER) < 13107"
 
 
-@add("ml_split", f"SELECT level1_category AS label, count(CASE WHEN NOT h THEN 1 END) AS n_train, count(CASE WHEN h THEN 1 END) AS n_test FROM (SELECT level1_category, {_HELD} AS h FROM employers WHERE level1_category IS NOT NULL) GROUP BY 1 HAVING count(*) >= 5")
+@add("ml_split", f"SELECT level1_category AS label, count(CASE WHEN NOT h THEN 1 END) AS n_train, count(CASE WHEN h THEN 1 END) AS n_test FROM (SELECT level1_category, {_HELD} AS h FROM employers WHERE level1_category IS NOT NULL) GROUP BY 1 HAVING count(*) >= 5 QUALIFY sum(count(*)) OVER () >= 100")
 def ml_split(spark: SparkSession, d: str) -> DataFrame:
     kept = L.split_by_hash(L.trainable(table(spark, d, "employers").select("employer_id", "level1_category"), "level1_category"), "employer_id")
     return kept.groupBy(F.col("level1_category").alias("label")).agg(F.count_if(~F.col("held_out")).alias("n_train"), F.count_if("held_out").alias("n_test"))
@@ -56,10 +56,12 @@ def ml_split(spark: SparkSession, d: str) -> DataFrame:
 
 @add("ml_train_lr")
 def ml_train_lr(spark: SparkSession, d: str) -> DataFrame:
-    """Labels with support, four fifths to train and one to test, then once more on all: (n_train, n_test, top1, top3, n_refit, top1_refit)."""
+    """Labels with support, four fifths to train and one to test, then once more on all: rows, top-1 and top-3 of both; no row with too few rows to train on."""
     e = table(spark, d, "employers").select("employer_id", F.lower("employer_norm").alias("text"), "level1_category")
     rows = cut(L.split_by_hash(L.trainable(e, "level1_category"), "employer_id"), "split")
     test = rows.filter("held_out")
+    if not rows.limit(1).count():
+        return spark.createDataFrame([], "n_test bigint, top1_test double, top3_test double, n_refit bigint, top1_refit double, top3_refit double")
 
     def scored(train: DataFrame, on: DataFrame, suffix: str) -> DataFrame:
         p = L.predict(L.train_classifier(train, "text", "level1_category"), on, "employer_id", "text").join(on.select("employer_id", "level1_category"), "employer_id")

@@ -1,7 +1,7 @@
 """Operators on small literal tables: nulls, ties, repeats, empty tables and clashing names."""
 
-import time
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +109,34 @@ def test_joins(spark):
     assert {(r["t"], r["v"]) for r in joins.as_of(left, right, ["k"], "t", "v").collect()} == {(5, "new"), (1, None)}
 
 
+def test_as_of_carries_values_over_spans_of_a_hot_key(spark):
+    random.seed(3)
+    right = [("k" if random.random() < 0.9 else "q", random.randrange(400), i) for i in range(60)] + [(None, 5, 1), ("k", None, 2), ("k", 7, None)]
+    left = [(i, random.choice(["k", "k", "q", "none", None]), random.choice([None, random.randrange(450)])) for i in range(200)]
+    l, r = spark.createDataFrame(left, "id long, k string, t long"), spark.createDataFrame(right, "k string, t long, v long")
+    got = {x["id"]: x["v"] for x in joins.as_of(l, r, ["k"], "t", "v", width=20).collect()}
+
+    def latest(k, t):
+        seen = [(rt, v) for rk, rt, v in right if None not in (rk, rt, v, k, t) and rk == k and rt <= t]
+        return max(seen)[1] if seen else None
+
+    assert got == {i: latest(k, t) for i, k, t in left}
+    assert joins.as_of(l.limit(0), r, ["k"], "t", "v").count() == 0 and joins.as_of(l, r.limit(0), ["k"], "t", "v").filter("v IS NULL").count() == 200
+
+
+def test_classes_say_what_pairs_would(spark):
+    random.seed(5)
+    data = [(i, random.choice(["a", "b", None]), random.choice(["x", "y", None]), random.choice([1, 2])) for i in range(60)]
+    df = spark.createDataFrame(data, "id long, p string, q string, n int")
+    alike = lambda a, b, ks: all(a[k] is not None and a[k] == b[k] for k in ks)
+    partners = {a[0]: {b[0] for b in data if a[0] != b[0] and (alike(a, b, (1,)) or alike(a, b, (2, 3)))} for a in data}
+    got = {r["id"]: r["n_links"] for r in entities.two_blocks(df, "id", ["p"], ["q", "n"], "by_p", "by_q").collect()}
+    assert got == {k: len(v) for k, v in partners.items()}
+    one = {r["id"]: (r["class"], r["n_links"]) for r in joins.class_of(df, ["p"], "id").collect()}
+    assert one == {a[0]: (min(b[0] for b in data if b[1] == a[1]), sum(b[1] == a[1] for b in data) - 1) for a in data if a[1] is not None}
+    assert joins.class_of(df.limit(0), ["p"], "id").count() == 0
+
+
 def brute_components(edges):
     of = {}
     for a, b in edges:
@@ -181,6 +209,11 @@ def test_similarity(spark):
     assert [r[0] for r in df.select(F.round(similarity.bigram_cosine(F.col("a"), F.col("b")), 4)).collect()] == [0.25, 0.0, None]
 
 
+@pytest.mark.parametrize("word,key", [("Knight", "NT"), ("Wright", "RT"), ("Schmidt", "SKMTT"), ("Philips", "FLPS"), ("Xavier", "SFR"), ("Church", "XRX"), ("Science", "SNS"), ("Edge", "EJ"), ("Nation", "NXN"), ("Lamb", "LM"), ("Whale", "WL"), ("Cat", "KT"), ("", ""), (None, None), ("1-2", "")])
+def test_metaphone_by_literal_words(word, key):
+    assert similarity.metaphone_text(word) == key
+
+
 def test_entity_cascade_takes_each_row_once(spark):
     df = spark.createDataFrame([(1, "A", "X"), (2, "A", "X"), (3, "B", "X"), (4, "C", "X"), (5, None, "")], "i long, v1 string, v2 string")
     assert rows(entities.exact_cascade(df, "i", ["v1", "v2"])) == [(1, "A", 1), (2, "A", 1), (3, "X", 2), (4, "X", 2)]
@@ -251,6 +284,54 @@ def test_retries_end():
     assert files.retrying(fetch, waits=(0.0, 0.0))("k") == {} and len(tried) == 3
 
 
+def test_state_backups_and_resumed_runs(spark, tmp_path):
+    at = lambda n: f"file://{tmp_path}/{n}"
+    default = spark.createDataFrame([("none", 0)], "name string, n long")
+    assert rows(files.load_state(spark, at("state"), default)) == [("none", 0)]
+    files.save_state(spark, at("state"), spark.createDataFrame([("a", 1), ("b", None)], "name string, n long"))
+    assert {tuple(r) for r in files.load_state(spark, at("state"), default).collect()} == {("a", 1), ("b", None)}
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.json").write_text('{"name": "a", "n": 1}\n{"name":')
+    assert rows(files.load_state(spark, at("bad"), default)) == [("none", 0)]
+    one = spark.range(3)
+    for df in (one, one.limit(1), one.limit(0)):
+        files.backed_up(df, at("out"))
+    assert spark.read.parquet(at("out.bak")).count() == 3 and spark.read.parquet(at("out")).count() == 0
+    work = lambda df: df
+    assert [files.resumed(one.filter("id < 2"), at("run"), "id", work), files.resumed(one, at("run"), "id", work), files.resumed(one, at("run"), "id", work)] == [2, 1, 0]
+    assert spark.read.parquet(at("run")).count() == 3
+
+
+def test_batches_are_aligned_by_position_and_providers_by_name(spark):
+    units = groups.numbered(spark.createDataFrame([(f"u{i:02}",) for i in range(23)], "u string"), "u", "n")
+    assert rows(units.select("n", "u")) == [(i + 1, f"u{i:02}") for i in range(23)]
+    cut = units.withColumn("batch", F.floor((F.col("n") - 1) / 10)).withColumn("pos", (F.col("n") - 1) % 10)
+    got = files.answered(cut, "u", lambda us: [x.upper() for x in us] if len(us) == 10 else ["too few"])
+    assert {r["u"]: r["answer"] for r in got.collect()} == {f"u{i:02}": f"U{i:02}" if i < 20 else None for i in range(23)}
+    run = files.dispatched({"a": lambda k: {"k": k}})
+    assert run("a|x|y") == {"k": "x|y"}
+    with pytest.raises(KeyError):
+        run("b|x")
+
+
+def test_a_csv_is_split_unless_it_has_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name\n1,"two\nlines"\n2,\n')
+    assert rows(files.read_csv(spark, str(tmp_path / "a.csv"), line_breaks=True)) == [("1", "two\nlines"), ("2", "")]
+    assert files.read_sheet(spark, lambda: [["a", "b"], [1, None], [2]]).collect() == [("1", ""), ("2", "")]
+
+
+def test_windows_leave_late_rows_out(spark, tmp_path):
+    from tallyloom.streaming import streams
+
+    def put(name, times):
+        spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("ts")).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    put("in", ["2025-01-01 00:10:00", "2025-01-01 00:20:00", "2025-01-05 00:00:00"])
+    df = spark.readStream.schema("ts timestamp").parquet(str(tmp_path / "in"))
+    got = streams.run_available(streams.tumbling(df, "ts", "1 hour", n=F.count(F.lit(1))))
+    assert [r["n"] for r in got.collect()] == [2]  # the last window is still open
+
+
 def test_header_tolerance():
     assert files.header_names([" Contributor.Name ", "Ballot  Measure(s)"]) == ["CONTRIBUTOR NAME", "BALLOT MEASURE(S)"]
     assert files.find_column(["Contributor.Name", "x"], "contributor name") == "Contributor.Name" and files.find_column([], "a") is None
