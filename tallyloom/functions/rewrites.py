@@ -28,7 +28,7 @@ NAME_TYPOS: Rules = [
     ("AND AFFILIATES ENTITIES", "AND AFFILIATED ENTITIES"),
 ]
 BUSINESS_WORDS: Rules = [
-    (r"[^A-Za-z0-9 ()]", " "),
+    (r"[^\p{L}\p{N} ()]", " "),
     (r" LTD LLLP$", ""),
     (r" AND AFFILIATED (?:ENTITIES|COMPANIES|ENTITIES INC)$", ""),
     (r" AND AFFILIATED$", ""),
@@ -53,7 +53,7 @@ COMMITTEE_WORDS: Rules = [
     (r"POLITICAL ACTION COMMITTEE(?: STATE PAC)?", ""),
     (r"POLITICAL ACTION CO$", ""),
     (r"POLITICAL (?:ACTION )?FUND", ""),
-    (r"PAC ALL PURPOSE(?: ACCOUNT)?", ""),
+    (r"PAC ALL PURPOSE", ""),
     (r"SCC", ""),
     (r"SMALL (?:CONTRIBUTOR |CONT )?COMMITTEE", ""),
     (r"PAC FED PAC", ""),

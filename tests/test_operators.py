@@ -214,6 +214,25 @@ def test_metaphone_by_literal_words(word, key):
     assert similarity.metaphone_text(word) == key
 
 
+@pytest.mark.parametrize(
+    "function,typed,want",
+    [
+        (text.standardize_name, "Smith & Jones #4, , Inc.", "SMITH AND JONES NUMBER4, INC"),
+        (text.standardize_name, "Local No 5 Workers?", "LOCAL NUMBER 5 WORKERS"),
+        (text.business_core, "CAFÉ-BAR (EAST) LLC", "CAFÉ BAR (EAST)"),
+        (text.business_core, "ACME AND AFFILIATED ENTITIES INC", "ACME"),
+        (text.business_core, "ACME MGMT CO", "ACME MANAGEMENT"),
+        (text.committee_core, "ACME PAC ALL PURPOSE ACCOUNT", "ACME ACCOUNT"),
+        (text.committee_core, "ACME POLITICAL ACTION COMMITTEE STATE PAC", "ACME"),
+        (text.committee_core, "ACME INC FED PAC ID C00377952", "ACME INC"),
+        (text.committee_core, "NURSES SMALL CONTRIBUTOR COMMITTEE (FPPC 123)", "NURSES"),
+        (text.committee_core, "JANE DOE MAJOR DONOR ACCOUNT", "JANE DOE"),
+    ],
+)
+def test_rewrites_by_literal_rows(spark, function, typed, want):
+    assert spark.createDataFrame([(typed,)], "t string").select(function(F.col("t"))).first()[0] == want
+
+
 def test_entity_cascade_takes_each_row_once(spark):
     df = spark.createDataFrame([(1, "A", "X"), (2, "A", "X"), (3, "B", "X"), (4, "C", "X"), (5, None, "")], "i long, v1 string, v2 string")
     assert rows(entities.exact_cascade(df, "i", ["v1", "v2"])) == [(1, "A", 1), (2, "A", 1), (3, "X", 2), (4, "X", 2)]
