@@ -38,14 +38,13 @@ def reachable(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     Nodes that were reached before are not walked again, so cycles end.
     """
     step = edges.select("parent", "child").distinct()
-    seen = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("depth")).distinct(), "walk")
-    frontier = seen
+    seen = frontier = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("depth")).distinct(), "walk")
     for d in range(1, depth + 1):
         met = frontier.join(step, frontier["node"] == step["parent"]).select("seed", F.col("child").alias("node")).distinct()
         frontier = cut(met.join(seen.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("depth", F.lit(d)), "walk")
         if not frontier.head(1):
             break
-        seen = cut(seen.unionByName(frontier), "walk")
+        seen = seen.unionByName(frontier)  # stored tables side by side: nothing is written twice
     return seen
 
 
@@ -64,7 +63,9 @@ def layers(edges: DataFrame) -> DataFrame:
         ready = cut(ready, "layer")
         if not ready.head(1):
             break
-        placed = cut(placed.unionByName(ready), "layer")
+        placed = placed.unionByName(ready)
+        if depth % 20 == 0:
+            placed = cut(placed, "layer")  # so that a long path does not make a long plan
     return nodes.join(placed, "node", "left")
 
 

@@ -225,7 +225,7 @@ _on("win_sample_per_group", "contributors", "SELECT data_source, name_id FROM (S
 _on("win_nsmallest_per_group", "contributions", "SELECT office, row_id, amount FROM (SELECT office, row_id, amount, row_number() OVER (PARTITION BY office ORDER BY amount, row_id) AS r FROM contributions WHERE office IS NOT NULL AND amount IS NOT NULL) WHERE r <= 5", lambda c: G.first_rows(c.filter("office IS NOT NULL AND amount IS NOT NULL").select("office", "row_id", "amount"), ["office"], F.col("amount"), F.col("row_id"), n=5))
 _on("win_topn_per_group", "contributions", "SELECT office, contributor_state, total FROM (SELECT office, contributor_state, round(sum(amount), 2) AS total, row_number() OVER (PARTITION BY office ORDER BY round(sum(amount), 2) DESC, contributor_state NULLS LAST) AS r FROM contributions WHERE office IS NOT NULL GROUP BY 1, 2) WHERE r <= 3", lambda c: G.first_rows(c.filter("office IS NOT NULL").groupBy("office", "contributor_state").agg(F.round(F.sum("amount"), 2).alias("total")), ["office"], F.desc("total"), F.asc_nulls_last("contributor_state"), n=3))
 _on("ord_desc_total", "contributions", "SELECT recipient_committee_id, round(sum(amount), 2) AS total FROM contributions GROUP BY 1 ORDER BY total DESC", lambda c: c.groupBy("recipient_committee_id").agg(F.round(F.sum("amount"), 2).alias("total")).orderBy(F.desc("total")))
-_on("ord_len_desc", "running_list", "SELECT ref_name, row_number() OVER (ORDER BY length(ref_name) DESC, ref_id) AS priority FROM running_list", lambda r: r.select("ref_name", F.row_number().over(_all().orderBy(F.desc(F.length("ref_name")), "ref_id")).cast("bigint").alias("priority")))
+_on("ord_len_desc", "running_list", "SELECT ref_name, row_number() OVER (ORDER BY length(ref_name) DESC, ref_id) AS priority FROM running_list", lambda r: G.numbered(r.select("ref_name", F.struct((-F.length("ref_name")).alias("l"), "ref_id").alias("k")), "k", "priority").select("ref_name", "priority"))
 _on("ord_bool_then_num", "employers", "SELECT employer_norm, employer_id FROM (SELECT employer_norm, employer_id, row_number() OVER (PARTITION BY employer_norm ORDER BY naics_code IS NULL, abs(amount_total), employer_id) AS r FROM employers) WHERE r = 1", lambda e: G.first_rows(e.select("employer_norm", "employer_id", "naics_code", "amount_total"), ["employer_norm"], F.col("naics_code").isNull(), F.asc_nulls_last(F.abs("amount_total")), F.col("employer_id")).select("employer_norm", "employer_id"))
 _on("ord_categorical", "contributions", "SELECT office, CASE office WHEN 'Treasurer' THEN 1 WHEN 'State Senate' THEN 2 ELSE 3 END AS sort_key, count(*) AS n FROM contributions GROUP BY 1, 2 ORDER BY 2, 3 DESC", lambda c: c.groupBy("office").agg(n_rows().alias("n")).select("office", F.when(F.col("office") == "Treasurer", 1).when(F.col("office") == "State Senate", 2).otherwise(3).alias("sort_key"), "n").orderBy("sort_key", F.desc("n")))
 _on("lim_topn_global", "contributions", "SELECT row_id, recipient_committee_id FROM contributions WHERE recipient_committee_id IN (SELECT recipient_committee_id FROM contributions GROUP BY 1 ORDER BY round(sum(amount), 2) DESC, 1 LIMIT 5)", lambda c: c.select("row_id", "recipient_committee_id").join(F.broadcast(c.groupBy("recipient_committee_id").agg(F.round(F.sum("amount"), 2).alias("t")).orderBy(F.desc("t"), "recipient_committee_id").limit(5).select("recipient_committee_id")), "recipient_committee_id", "left_semi"))

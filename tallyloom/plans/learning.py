@@ -47,8 +47,9 @@ def ml_nearest_prototype(spark: SparkSession, d: str) -> DataFrame:
 def lim_topk_neighbors(spark: SparkSession, d: str) -> DataFrame:
     """The stated query set, every fiftieth id, against all rows: queries travel to the rows in blocks, and only the best of each block go on."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
-    queries = e.filter("id % 50 = 0").select(F.col("id").alias("query"), F.col("vec").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("block"))
-    rows = e.select(F.col("id").alias("item"), "vec", F.pmod(F.xxhash64("id"), F.lit(8)).cast("int").alias("block"))
+    blocks = max(8, -(-e.count() // 2000))
+    queries = e.filter("id % 50 = 0").select(F.col("id").alias("query"), F.col("vec").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    rows = e.select(F.col("id").alias("item"), "vec", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
     sims = queries.join(rows, "block").filter("query <> item").select("query", "block", "item", F.round(L.dot(F.col("q"), F.col("vec")), 9).alias("s"))
     return first_rows(first_rows(sims, ["query", "block"], F.desc("s"), F.col("item"), n=5), ["query"], F.desc("s"), F.col("item"), n=5).select("query", "item")
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -65,13 +67,31 @@ def shared_dir(spark: SparkSession) -> str:
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if where:
         return where.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    where = "file://" + tempfile.mkdtemp(prefix="tallyloom-")
+    folder = tempfile.mkdtemp(prefix="tallyloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    where = "file://" + folder
     spark.conf.set("spark.checkpoint.dir", where)
     return where
 
 
+_CUTS: dict[int, list[str]] = {}
+
+
+def swept(spark: SparkSession) -> int:
+    """Deletes the tables that `cut` has stored in this context, and gives their number.
+
+    For the caller to use once the results that read them are written or dropped; nothing is deleted while a query may need it.
+    """
+    paths = _CUTS.pop(id(spark.sparkContext), [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)
+
+
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """df written once to the shared folder and read again: lineage ends there and a lost executor costs no recomputation.
 
@@ -79,4 +99,5 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """
     path = os.path.join(shared_dir(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _CUTS.setdefault(id(df.sparkSession.sparkContext), []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

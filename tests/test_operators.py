@@ -351,6 +351,15 @@ def test_windows_leave_late_rows_out(spark, tmp_path):
     assert [r["n"] for r in got.collect()] == [2]  # the last window is still open
 
 
+def test_stored_tables_can_be_swept(spark):
+    from tallyloom import session
+
+    kept = session.cut(spark.range(5), "sweep")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert kept.count() == 5 and files.exists(spark, path)
+    assert session.swept(spark) >= 1 and not files.exists(spark, path) and session.swept(spark) == 0
+
+
 def test_header_tolerance():
     assert files.header_names([" Contributor.Name ", "Ballot  Measure(s)"]) == ["CONTRIBUTOR NAME", "BALLOT MEASURE(S)"]
     assert files.find_column(["Contributor.Name", "x"], "contributor name") == "Contributor.Name" and files.find_column([], "a") is None
