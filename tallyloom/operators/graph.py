@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.groups import numbered
 from tallyloom.session import cut
 
 
@@ -32,20 +33,36 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+#: Seeds that walk together, as the bits of one number.
+TOGETHER = 62
+
+
 def reachable(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """(seed, node, depth): nodes within so many steps of each seed along directed edges (parent, child), by their fewest steps.
 
-    Nodes that were reached before are not walked again, so cycles end.
+    TOGETHER seeds walk as one: a row (node, group, bits) says which of them have reached a node, so a step moves each edge once
+    a group and not once a seed. Nodes that were reached before are not walked again, so cycles end. Null seeds and ends of edges
+    are left out.
     """
-    step = edges.select("parent", "child").distinct()
-    seen = frontier = cut(seeds.select(F.col("node").alias("seed"), "node", F.lit(0).alias("depth")).distinct(), "walk")
+    step = cut(edges.filter("parent IS NOT NULL AND child IS NOT NULL").select("parent", "child").distinct(), "step")
+    known = cut(numbered(seeds.select("node").filter("node IS NOT NULL").distinct(), "node", "n"), "seeds")
+    known = known.select(F.col("node").alias("seed"), F.floor((F.col("n") - 1) / TOGETHER).alias("group"), ((F.col("n") - 1) % TOGETHER).cast("int").alias("bit"))
+    start = known.select(F.col("seed").alias("node"), "group", F.expr("shiftleft(1L, bit)").alias("bits"))
+    frontier = seen = cut(start.groupBy("node", "group").agg(F.bit_or("bits").alias("bits")), "walk")
+    found = [frontier.withColumn("depth", F.lit(0))]
     for d in range(1, depth + 1):
-        met = frontier.join(step, frontier["node"] == step["parent"]).select("seed", F.col("child").alias("node")).distinct()
-        frontier = cut(met.join(seen.select("seed", "node"), ["seed", "node"], "left_anti").withColumn("depth", F.lit(d)), "walk")
+        met = frontier.join(step, frontier["node"] == step["parent"]).groupBy(F.col("child").alias("node"), "group").agg(F.bit_or("bits").alias("met"))
+        now = cut(seen.join(met, ["node", "group"], "full").select("node", "group", F.coalesce("bits", F.lit(0)).cast("bigint").alias("was"), F.coalesce("met", F.lit(0)).cast("bigint").alias("met")), "walk")
+        frontier = now.select("node", "group", F.col("met").bitwiseAND(F.bitwise_not("was")).alias("bits")).filter("bits <> 0")
+        seen = now.select("node", "group", F.col("was").bitwiseOR(F.col("met")).alias("bits"))
+        found.append(frontier.withColumn("depth", F.lit(d)))
         if not frontier.head(1):
             break
-        seen = seen.unionByName(frontier)  # stored tables side by side: nothing is written twice
-    return seen
+    rows = found[0]
+    for f in found[1:]:
+        rows = rows.unionByName(f)
+    each = rows.select("node", "group", "depth", F.explode(F.expr(f"filter(sequence(0, {TOGETHER - 1}), i -> getbit(bits, i) = 1)")).alias("bit"))
+    return each.join(known, ["group", "bit"]).select("seed", "node", "depth")
 
 
 def layers(edges: DataFrame) -> DataFrame:

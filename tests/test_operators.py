@@ -159,6 +159,22 @@ def test_components_of_chains_cycles_and_loops(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+def test_walks_of_many_seeds_take_the_fewest_steps(spark):
+    random.seed(8)
+    edges = [(random.randrange(150), random.randrange(150)) for _ in range(260)] + [(None, 1), (1, None)]
+    df = spark.createDataFrame(edges, "parent long, child long")
+    want = {}
+    for seed in range(150):
+        at, want[seed, seed] = {seed}, 0
+        for d in range(1, 4):
+            at = {b for a, b in edges if a in at and b is not None}
+            for n in at:
+                want.setdefault((seed, n), d)
+    seeds = spark.createDataFrame([(i,) for i in [*range(150), 3, None]], "node long")
+    assert {(r["seed"], r["node"]): r["depth"] for r in graph.reachable(df, seeds, 3).collect()} == want
+    assert graph.reachable(df.limit(0), seeds.filter("node < 2"), 3).count() == 2 and graph.reachable(df, seeds.limit(0), 3).count() == 0
+
+
 def test_layers_leave_cycles_out(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (10, 11), (11, 10), (12, 10)], "parent long, child long")
     assert {r["node"]: r["layer"] for r in graph.layers(e).collect()} == {3: 0, 2: 1, 1: 2, 10: None, 11: None, 12: None}
