@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import rewrites as R
 from tallyloom.functions import similarity, text
+from tallyloom.functions.rewrites import rewritten_sql, squish_sql
 from tallyloom.operators import entities as E
 from tallyloom.operators import graph
 from tallyloom.operators.groups import best_row, conflicts
@@ -16,7 +18,11 @@ registry = Registry()
 add = registry.add
 
 
-@add("er_name_variants")
+_V1 = squish_sql(rewritten_sql("upper(naml)", R.STANDARD_NAME))
+_V2, _V3, _V4 = squish_sql(rewritten_sql(rewritten_sql("v1", R.COMMITTEE_IDS), R.COMMITTEE_WORDS)), "regexp_replace(v2, '\\s*\\([^)]*\\)', '', 'g')", squish_sql(rewritten_sql("v3", R.BUSINESS_WORDS))
+
+
+@add("er_name_variants", f"SELECT filer_id, v1, v2, v3, {_V4} AS v4 FROM (SELECT *, {_V3} AS v3 FROM (SELECT *, {_V2} AS v2 FROM (SELECT filer_id, {_V1} AS v1 FROM filers)))")
 def er_name_variants(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "filers").select("filer_id", *E.name_variants(F.col("naml")))
 
@@ -195,7 +201,7 @@ def er_split_pac_direct(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "contributions").groupBy(F.when(strip(F.coalesce("contributor_id", F.lit(""))) != "", "committee").otherwise("direct").alias("route")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@add("gr_entity_group")
+@add("gr_entity_group", "SELECT recipient_committee_id, contributor_name, CASE WHEN count(DISTINCT contributor_id) = 1 THEN concat_ws('|', recipient_committee_id, 'id:' || min(contributor_id)) ELSE concat_ws('|', recipient_committee_id, 'name:' || contributor_name) END AS entity FROM contributions WHERE contributor_name IS NOT NULL GROUP BY 1, 2")
 def gr_entity_group(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "contributions").select("recipient_committee_id", "contributor_name", "contributor_id")
     return E.entity_groups(c, "recipient_committee_id", "contributor_name", "contributor_id")
