@@ -1,10 +1,11 @@
 """Typed values mapped to the closest entry of a reference list: tokens are repaired first, then whole entries are ranked.
 
-1. Each different token of the values that the list does not have is joined to the list's tokens: by shared deletions (edit
+1. Each different token of the values is joined to the list's tokens that it may stand for: by shared deletions (edit
    distance), by the letters an abbreviation must have, and by how long tokens begin (words run together). The joins are on
    different tokens, not on rows.
-2. A repaired token leads to the entries of which it is the rarest token: every token of an entry must be met, so an entry that
-   can be accepted is led to. Initials and words run together lead to theirs by their letters.
+2. A repaired token leads to the entries of which it is one of the rarest tokens: so much of an entry's weight must be met that an
+   entry that can be accepted is led to. An initial leads with another word; names of initials and words run together lead to
+   theirs by their letters.
 3. Value and entry are compared by soft TF-IDF over their aligned tokens; the best entry above the limit is the value's.
 """
 
@@ -27,6 +28,8 @@ Accept = Callable[[tuple[str, ...], tuple[str, ...], float, float, float], bool]
 
 #: Soft TF-IDF that an entry must reach.
 LEAST = 0.45
+#: Less than so much of an entry's weight may be missed, so one of so many of its rarest tokens is met.
+MISSED = 0.26
 
 
 def _tokens(df: DataFrame, parse: Parse) -> DataFrame:
@@ -73,18 +76,26 @@ def word_keys(word: Column) -> Column:
 
 
 def token_repairs(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(token, word, sim): the vocabulary words (word) that each token (token) may stand for; a token of the vocabulary for itself.
+    """(token, word, sim): the vocabulary words (word) that each token (token) may stand for; a token of the vocabulary for itself, too.
 
-    Both inputs hold different tokens only. A token may stand for several words; one with no word near it has no row.
+    Both inputs hold different tokens only. A token may stand for several words, either short for the other; one with no word near
+    it has no row. Initials are left out: any word of their letter is near.
     """
-    unknown = cut(tokens.join(vocabulary.withColumnRenamed("word", "token"), "token", "left_anti"), "unknown")
+    known = tokens.join(vocabulary.withColumnRenamed("word", "token"), "token", "left_semi").select("token", F.col("token").alias("word"), F.lit(1.0).alias("sim"))
+    whole = cut(tokens.filter("length(token) > 1"), "whole")
     listed = vocabulary.select(F.lit(0).alias("list"), F.col("word").alias("token"))
-    near = neighbours(unknown.select(F.lit(0).alias("list"), "token"), ["list"], listed).select("token", F.col("other").alias("word"))
-    short = unknown.filter("length(token) > 1").select("token", F.explode(abbreviation_keys(F.col("token"))).alias("k"))
-    long = vocabulary.filter("length(word) > 2").select("word", F.explode(word_keys(F.col("word"))).alias("k"))
+    near = neighbours(whole.select(F.lit(0).alias("list"), "token"), ["list"], listed).select("token", F.col("other").alias("word"))
     in_order = F.expr("word RLIKE concat('^', regexp_replace(token, '(.)', '$1.*')) OR startswith(word, left(token, length(token) - 1))")
-    brief = short.hint("merge").join(long, "k").filter("length(word) > length(token)").filter(in_order).select("token", "word")
-    ends = unknown.filter("length(token) >= 12").select("token", F.explode(F.sequence(F.lit(6), F.length("token") - 4)).alias("n"))
+
+    def shortened(short: DataFrame, long: DataFrame) -> DataFrame:
+        """Pairs of short (token) and long (word) of which one may be short for the other."""
+        keyed = short.filter("length(token) > 1").select("token", F.explode(abbreviation_keys(F.col("token"))).alias("k"))
+        full = long.filter("length(word) > 2").select("word", F.explode(word_keys(F.col("word"))).alias("k"))
+        return keyed.hint("merge").join(full, "k").filter("length(word) > length(token)").filter(in_order).select("token", "word")
+
+    turned = shortened(vocabulary.select(F.col("word").alias("token")), whole.select(F.col("token").alias("word")))
+    brief = shortened(whole, vocabulary).unionByName(turned.select(F.col("word").alias("token"), F.col("token").alias("word")))
+    ends = whole.join(known, "token", "left_anti").filter("length(token) >= 12").select("token", F.explode(F.sequence(F.lit(6), F.length("token") - 4)).alias("n"))
     run = ends.select("token", F.substring("token", F.lit(1), F.col("n")).alias("word")).hint("merge").join(vocabulary, "word").select("token", "word")
     pairs = near.unionByName(brief).distinct()
 
@@ -93,7 +104,6 @@ def token_repairs(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
             a, b = (batch.column(i).to_pylist() for i in range(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([likeness(x, y, False) for x, y in zip(a, b)], pa.float64())], names=["token", "word", "sim"])
 
-    known = tokens.join(vocabulary.withColumnRenamed("word", "token"), "token", "left_semi").select("token", F.col("token").alias("word"), F.lit(1.0).alias("sim"))
     scored = pairs.mapInArrow(score, "token string, word string, sim double").filter("sim > 0")
     return known.unionByName(scored).unionByName(run.withColumn("sim", F.lit(0.5)))
 
@@ -116,16 +126,32 @@ def closest_entries(values: DataFrame, entries: DataFrame, parse: Parse, accept:
     held = names.select("entry", F.explode(F.array_distinct("tokens")).alias("word"))
     words = cut(held.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "vocabulary")
     rank_of = F.row_number().over(Window.partitionBy("entry").orderBy("n", "word"))
-    leads = held.join(words, "word").withColumn("r", rank_of).filter("r = 1").select("word", "entry")
+    size = names.select("entry", F.size("tokens").alias("size"))
+    leads = held.join(words, "word").withColumn("r", rank_of).join(size, "entry").filter(F.col("r") <= 1 + F.floor(F.col("size") * MISSED)).select("word", "entry")
     used = parsed.select("value", F.explode(F.array_distinct("tokens")).alias("token"))
     repairs = cut(token_repairs(used.select("token").distinct(), words.select("word")), "repairs")
+    first = lambda t: F.array_join(F.array_sort(F.transform(t, lambda w: F.substring(w, 1, 1))), "")
     initials = names.filter("size(tokens) > 1").select("entry", F.array_join(F.transform("tokens", lambda t: F.substring(t, 1, 1)), "").alias("run"))
+    letters = names.filter("size(tokens) > 1").select("entry", first(F.col("tokens")).alias("run"))
     runs = names.select("entry", F.array_join("tokens", "").alias("run"))
-    squashed = parsed.select("value", F.array_join("tokens", "").alias("run"))
-    alone = squashed.filter("length(run) BETWEEN 2 AND 5")
-    pairs = used.hint("merge").join(repairs, "token").join(leads, "word").select("value", "entry")
-    pairs = pairs.unionByName(alone.hint("merge").join(initials, "run").select("value", "entry"))
-    pairs = pairs.unionByName(squashed.hint("merge").join(runs, "run").select("value", "entry")).distinct()
+    squashed = cut(parsed.select("value", F.array_join("tokens", "").alias("run"), F.when(F.array_max(F.transform("tokens", F.length)) == 1, first(F.col("tokens"))).alias("letters")), "squashed")
+    met = used.hint("merge").join(repairs, "token")
+    pairs = met.join(leads, "word").select("value", "entry")
+    pairs = pairs.unionByName(squashed.hint("merge").join(initials, "run").select("value", "entry"))
+    pairs = pairs.unionByName(squashed.select("value", F.col("letters").alias("run")).filter("run IS NOT NULL").hint("merge").join(letters, "run").select("value", "entry"))
+    pairs = pairs.unionByName(squashed.hint("merge").join(runs, "run").select("value", "entry"))
+    # an initial of the value or of the entry stands for a word, if another word is met
+    letter = lambda side, c: F.concat(F.lit(side), F.substring(c, 1, 1))
+    sides = lambda c, one, long: F.when(F.length(c) == 1, letter(one, c)).when(F.length(c) > 4, letter(long, c))
+    asked = used.select("value", sides("token", "v", "e").alias("s")).filter("s IS NOT NULL").join(met.select("value", "word"), "value").distinct()
+    stands = leads.select("entry", F.col("word").alias("lead"), sides("word", "e", "v").alias("s")).filter("s IS NOT NULL").join(held, "entry").filter("word <> lead")
+    pairs = pairs.unionByName(asked.hint("merge").join(stands, ["s", "word"]).select("value", "entry"))
+    # runs of letters within two slips: those that can be accepted begin alike
+    head = F.substring("run", 1, 6).alias("head")
+    mine, its = squashed.select(head, F.col("run").alias("token")).filter("length(token) > 8").distinct(), runs.select(head, F.col("run").alias("token")).filter("length(token) > 10").distinct()
+    slips = neighbours(mine, ["head"], its).select(F.col("token").alias("run"), "other")
+    pairs = pairs.unionByName(squashed.hint("merge").join(slips, "run").select("value", F.col("other").alias("run")).hint("merge").join(runs, "run").select("value", "entry"))
+    pairs = cut(pairs.distinct(), "pairs")
     total = names.count()
     rare = math.log(1 + total)
 
@@ -154,7 +180,7 @@ def closest_entries(values: DataFrame, entries: DataFrame, parse: Parse, accept:
 
     ranked = full.select("value", "ref_id", "tokens", "weights", "entry_tokens", "entry_weights").mapInArrow(rank, "value string, ref_id bigint, score double").filter("score IS NOT NULL")
     best = ranked.groupBy("value").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("ref_id")).alias("minus"))).alias("m"))
-    return best.select("value", (-F.col("m.minus")).alias("ref_id"), F.col("m.score").alias("score"))
+    return cut(best.select("value", (-F.col("m.minus")).alias("ref_id"), F.col("m.score").alias("score")), "closest")
 
 
 def accept_business(value: tuple[str, ...], entry: tuple[str, ...], score: float, met: float, used: float) -> bool:
