@@ -85,6 +85,7 @@ def token_repairs(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     whole = cut(tokens.filter("length(token) > 1"), "whole")
     listed = vocabulary.select(F.lit(0).alias("list"), F.col("word").alias("token"))
     near = neighbours(whole.select(F.lit(0).alias("list"), "token"), ["list"], listed).select("token", F.col("other").alias("word"))
+    near = cut(near, "near")
     in_order = F.expr("word RLIKE concat('^', regexp_replace(token, '(.)', '$1.*')) OR startswith(word, left(token, length(token) - 1))")
 
     def shortened(short: DataFrame, long: DataFrame) -> DataFrame:
@@ -94,7 +95,8 @@ def token_repairs(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
         return keyed.hint("merge").join(full, "k").filter("length(word) > length(token)").filter(in_order).select("token", "word")
 
     turned = shortened(vocabulary.select(F.col("word").alias("token")), whole.select(F.col("token").alias("word")))
-    brief = shortened(whole, vocabulary).unionByName(turned.select(F.col("word").alias("token"), F.col("token").alias("word")))
+    turned = cut(turned.select(F.col("word").alias("token"), F.col("token").alias("word")), "brief")
+    brief = cut(shortened(whole, vocabulary), "brief").unionByName(turned)
     ends = whole.join(known, "token", "left_anti").filter("length(token) >= 12").select("token", F.explode(F.sequence(F.lit(6), F.length("token") - 4)).alias("n"))
     run = ends.select("token", F.substring("token", F.lit(1), F.col("n")).alias("word")).hint("merge").join(vocabulary, "word").select("token", "word")
     pairs = near.unionByName(brief).distinct()
@@ -128,14 +130,15 @@ def closest_entries(values: DataFrame, entries: DataFrame, parse: Parse, accept:
     rank_of = F.row_number().over(Window.partitionBy("entry").orderBy("n", "word"))
     size = names.select("entry", F.size("tokens").alias("size"))
     leads = held.join(words, "word").withColumn("r", rank_of).join(size, "entry").filter(F.col("r") <= 1 + F.floor(F.col("size") * MISSED)).select("word", "entry")
-    used = parsed.select("value", F.explode(F.array_distinct("tokens")).alias("token"))
+    leads = cut(leads, "leads")
+    used = cut(parsed.select("value", F.explode(F.array_distinct("tokens")).alias("token")), "used")
     repairs = cut(token_repairs(used.select("token").distinct(), words.select("word")), "repairs")
     first = lambda t: F.array_join(F.array_sort(F.transform(t, lambda w: F.substring(w, 1, 1))), "")
     initials = names.filter("size(tokens) > 1").select("entry", F.array_join(F.transform("tokens", lambda t: F.substring(t, 1, 1)), "").alias("run"))
     letters = names.filter("size(tokens) > 1").select("entry", first(F.col("tokens")).alias("run"))
     runs = names.select("entry", F.array_join("tokens", "").alias("run"))
     squashed = cut(parsed.select("value", F.array_join("tokens", "").alias("run"), F.when(F.array_max(F.transform("tokens", F.length)) == 1, first(F.col("tokens"))).alias("letters")), "squashed")
-    met = used.hint("merge").join(repairs, "token")
+    met = cut(used.hint("merge").join(repairs, "token").select("value", "word").distinct(), "met")
     pairs = met.join(leads, "word").select("value", "entry")
     pairs = pairs.unionByName(squashed.hint("merge").join(initials, "run").select("value", "entry"))
     pairs = pairs.unionByName(squashed.select("value", F.col("letters").alias("run")).filter("run IS NOT NULL").hint("merge").join(letters, "run").select("value", "entry"))
@@ -143,13 +146,13 @@ def closest_entries(values: DataFrame, entries: DataFrame, parse: Parse, accept:
     # an initial of the value or of the entry stands for a word, if another word is met
     letter = lambda side, c: F.concat(F.lit(side), F.substring(c, 1, 1))
     sides = lambda c, one, long: F.when(F.length(c) == 1, letter(one, c)).when(F.length(c) > 4, letter(long, c))
-    asked = used.select("value", sides("token", "v", "e").alias("s")).filter("s IS NOT NULL").join(met.select("value", "word"), "value").distinct()
+    asked = used.select("value", sides("token", "v", "e").alias("s")).filter("s IS NOT NULL").join(met, "value").distinct()
     stands = leads.select("entry", F.col("word").alias("lead"), sides("word", "e", "v").alias("s")).filter("s IS NOT NULL").join(held, "entry").filter("word <> lead")
-    pairs = pairs.unionByName(asked.hint("merge").join(stands, ["s", "word"]).select("value", "entry"))
+    pairs = cut(pairs, "led").unionByName(cut(asked.hint("merge").join(stands, ["s", "word"]).select("value", "entry"), "led"))
     # runs of letters within two slips: those that can be accepted begin alike
     head = F.substring("run", 1, 6).alias("head")
     mine, its = squashed.select(head, F.col("run").alias("token")).filter("length(token) > 8").distinct(), runs.select(head, F.col("run").alias("token")).filter("length(token) > 10").distinct()
-    slips = neighbours(mine, ["head"], its).select(F.col("token").alias("run"), "other")
+    slips = cut(neighbours(mine, ["head"], its).select(F.col("token").alias("run"), "other"), "slips")
     pairs = pairs.unionByName(squashed.hint("merge").join(slips, "run").select("value", F.col("other").alias("run")).hint("merge").join(runs, "run").select("value", "entry"))
     pairs = cut(pairs.distinct(), "pairs")
     total = names.count()
@@ -161,8 +164,8 @@ def closest_entries(values: DataFrame, entries: DataFrame, parse: Parse, accept:
         weight = F.coalesce(F.log(1 + F.lit(float(total)) / F.col("n")), F.lit(rare))
         return flat.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "word", weight.alias("w")))).alias("t")).select(key, F.col("t.word").alias("tokens"), F.col("t.w").alias("weights"))
 
-    of_value = weighed(parsed, "value")
-    of_entry = weighed(names, "entry").join(names.select("entry", "ref_id"), "entry").select("entry", "ref_id", F.col("tokens").alias("entry_tokens"), F.col("weights").alias("entry_weights"))
+    of_value = cut(weighed(parsed, "value"), "weighed")
+    of_entry = cut(weighed(names, "entry"), "weighed").join(names.select("entry", "ref_id"), "entry").select("entry", "ref_id", F.col("tokens").alias("entry_tokens"), F.col("weights").alias("entry_weights"))
     full = pairs.hint("merge").join(of_value, "value").join(of_entry, "entry")
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
