@@ -130,3 +130,31 @@ def test_votes_of_neighbours_by_words_and_characters(spark, tmp_path):
     assert want[0][0] == "Construction" and want[4][0] == "Health"
     got = {r["employer_id"]: (r["label"], r["confidence"]) for r in QUERIES["ml_knn_vote"](spark, str(tmp_path)).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("nodes", [0, 1 << 18])
+def test_rows_of_walks_are_not_shuffled(spark, monkeypatch, nodes):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tallyloom.operators import graph
+
+    for name, value in (("MATRIX_NODES", nodes), ("MATRIX_BYTES", 2000), ("CHUNK", 100), ("CACHED", 64), ("BATCH", 200)):
+        monkeypatch.setattr(graph, name, value, raising=False)
+    random.seed(11)
+    pairs = {(f"n{random.randrange(190)}", f"n{int(190 * random.random() ** 2)}") for _ in range(900)}
+    edges = spark.createDataFrame([*pairs, *list(pairs)[:50]], "parent string, child string")
+    want = {}
+    for seed in {a for a, _ in pairs}:
+        at, want[seed, seed] = {seed}, 0
+        for d in range(1, 6):
+            at = {b for a, b in pairs if a in at}
+            for n in at:
+                want.setdefault((seed, n), d)
+    df = graph.reachable(edges, edges.select(F.col("parent").alias("node")), 5)
+    rows = df.collect()
+    assert len(rows) == len(want) and {(r["seed"], r["node"]): r["depth"] for r in rows} == want
+    # what makes seeds of groups comes last: no join or exchange has a row for each seed and node
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan.partition("Generate" if nodes == 0 else "MapInArrow")[0]
